@@ -48,10 +48,6 @@ def carry(
     return rows.join(combined, [*keys, chunk], "inner")
 
 
-def neighbours(keys: list[str], chunk: str, order: list[str], value: Column) -> "Neighbours":
-    return Neighbours(keys, chunk, order, value)
-
-
 class Neighbours:
     """The value of the previous and of the next row, across chunk borders.
 
