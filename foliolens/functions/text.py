@@ -149,8 +149,8 @@ def word_tags(text: Column | str, lexicon: dict[str, list[str]] | None = None) -
 
 def tag_counts(tags: Column | str) -> list[Column]:
     """The nine word-class counts of an array of tags."""
-    tags = _col(tags)
-    return [
-        F.size(F.filter(tags, lambda t, names=names: t.isin(names))).alias(column)
-        for column, names in TAG_CLASSES.items()
-    ]
+    return [_count_of(_col(tags), names).alias(column) for column, names in TAG_CLASSES.items()]
+
+
+def _count_of(tags: Column, names: list[str]) -> Column:
+    return F.size(F.filter(tags, lambda tag: tag.isin(names)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliolens.functions import text as tx
 from foliolens.operators.lines import with_page_context
 from foliolens.plans.chunks import carry, chunk_of
-from foliolens.plans.lineage import salted_join
+from foliolens.plans.lineage import cut, salted_join
 
 MEAN_TOLERANCE = 1e-9
 BAND_POINTS = 256
@@ -115,5 +115,8 @@ def merge_runs(candidates: DataFrame, band: float = BAND_POINTS) -> DataFrame:
 
 
 def candidates(lines: DataFrame, z: float = 0.25, remove_repeats: bool = True) -> DataFrame:
-    """Filtered and merged heading candidates from lines with features."""
-    return merge_runs(filter_candidates(lines, z, remove_repeats))
+    """Filtered and merged heading candidates from lines with features.
+
+    The few lines that pass are written out before the merge, which reads them twice.
+    """
+    return merge_runs(cut(filter_candidates(lines, z, remove_repeats)))

@@ -30,37 +30,33 @@ def base_name(path: Column, suffix: str) -> Column:
 def read_label_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """Label documents of a folder, one JSON object per file, and the files that do not parse.
 
-    The first table has doc_id, title and outline; a missing outline is empty.
+    The first table has doc_id, title and outline; a missing outline is empty.  The second has doc_id and content.
     """
-    files = (
-        spark.read.schema(f"{OUTLINE_SCHEMA}, _broken string")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken")
+    texts = (
+        spark.read.option("wholetext", True)
         .option("pathGlobFilter", pattern)
-        .json(folder)
-        .withColumn("doc_id", base_name(F.col("_metadata.file_path"), "\\.json"))
-        .where(~F.col("doc_id").endswith("_raw"))
+        .text(folder)
+        .select(base_name(F.col("_metadata.file_path"), "\\.json").alias("_name"), "value")
+        .where(~F.col("_name").endswith("_raw"))
     )
-    return split_broken(files)
+    return _parse_labels(texts, F.col("_name"))
 
 
 def read_label_lines(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The same for label documents stored many to a file, one per line, each with its doc_id."""
-    files = (
-        spark.read.schema(f"doc_id string, {OUTLINE_SCHEMA}, _broken string")
-        .option("columnNameOfCorruptRecord", "_broken")
-        .json(folder)
-    )
-    return split_broken(files)
+    return _parse_labels(spark.read.text(folder), F.col("_parsed.doc_id"))
 
 
-def split_broken(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = files.where(F.col("_broken").isNull()).select(
-        "doc_id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("outline", F.array()).alias("outline")
+def _parse_labels(texts: DataFrame, name: Column) -> tuple[DataFrame, DataFrame]:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = texts.withColumn("_parsed", F.from_json("value", f"doc_id string, {OUTLINE_SCHEMA}, _broken string", options))
+    broken = F.col("_parsed").isNull() | F.col("_parsed._broken").isNotNull()
+    good = parsed.where(~broken).select(
+        name.alias("doc_id"),
+        F.coalesce("_parsed.title", F.lit("")).alias("title"),
+        F.coalesce("_parsed.outline", F.array()).alias("outline"),
     )
-    broken = files.where(F.col("_broken").isNotNull()).select("doc_id", F.col("_broken").alias("content"))
-    return good, broken
+    return good, parsed.where(broken).select(name.alias("doc_id"), F.col("value").alias("content"))
 
 
 def outline_entries(labels: DataFrame) -> DataFrame:
@@ -86,6 +82,16 @@ def read_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("line_idx", F.monotonically_increasing_id())
 
 
+def read_lines(spark: SparkSession, folder: str, doc_id: str = "long") -> DataFrame:
+    """Line records stored many documents to a file, as the line sink writes them."""
+    fields = [f"{field.name} {field.dataType.simpleString()}" for field in LINE_SCHEMA.fields]
+    return spark.read.schema(", ".join([f"doc_id {doc_id}", "line_idx int", *fields])).json(folder)
+
+
+def read_outlines(spark: SparkSession, folder: str, doc_id: str = "long") -> DataFrame:
+    return spark.read.schema(f"doc_id {doc_id}, part int, {OUTLINE_SCHEMA}").json(folder)
+
+
 def read_collections(spark: SparkSession, folder: str, pattern: str = "*input.json") -> DataFrame:
     """Collection configs below a folder: collection, persona, job, and the document names; absent keys give ''."""
     rows = (
