@@ -1 +1,219 @@
-"""To come."""
+"""Training sets, scaling, splits, trained models and their evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foliolens.catalog.base import CONTEXT, LINES, TRUTH, Tables, query
+from foliolens.catalog.headings import KNOWN, TITLE_LABEL, _label_sql
+from foliolens.catalog.layout import POS, SPAN_FEATURES_SQL
+from foliolens.operators import labels as lb
+from foliolens.operators import lines as ln
+from foliolens.operators import outline as ol
+from foliolens.operators import training as tr
+from foliolens.plans.lineage import cut, scratch
+
+CLASS = "CASE label WHEN 'BODY' THEN 0 WHEN 'H1' THEN 1 WHEN 'H2' THEN 2 WHEN 'H3' THEN 3 END::INTEGER AS class"
+
+
+def span_examples(t: Tables):
+    return tr.span_training_set(ln.with_span_features(t.spans), t.labels)
+
+
+def line_examples(t: Tables, words: bool = True):
+    features = t.all_features if words else t.features
+    return tr.line_training_set(ln.with_page_context(features), t.labels)
+
+
+@query(
+    "train_set_span",
+    "WITH " + SPAN_FEATURES_SQL + "," + TRUTH
+    + f", labelled AS ({_label_sql('(SELECT * FROM span_features SEMI JOIN entries USING (doc_id))', 'r.*', 'arg_max', KNOWN)})"
+    + f" SELECT doc_id, line_idx, span_idx, font_size, bold, top, spacing, label, {CLASS} FROM labelled",
+)
+def train_set_span(t: Tables):
+    return span_examples(t).select("doc_id", "line_idx", "span_idx", *tr.SPAN_FEATURES, "label", "class")
+
+
+LINE_EXAMPLES = (
+    POS + "," + TRUTH
+    + f", labelled AS ({_label_sql('(SELECT * FROM pos SEMI JOIN good USING (doc_id))', 'r.*', 'arg_min', KNOWN + ', ' + chr(39) + 'H4' + chr(39))})"
+)
+
+
+@query(
+    "train_set_line",
+    "WITH " + LINE_EXAMPLES
+    + f" SELECT doc_id, line_idx, {', '.join(tr.LINE_FEATURES)}, label, {CLASS} FROM labelled WHERE label <> 'H4'",
+)
+def train_set_line(t: Tables):
+    return line_examples(t).select("doc_id", "line_idx", *tr.LINE_FEATURES, "label", "class")
+
+
+@query(
+    "train_set_text",
+    "WITH " + CONTEXT + "," + TRUTH + ", titled AS ("
+    + TITLE_LABEL.replace("FROM features r", "FROM (SELECT * FROM context SEMI JOIN good USING (doc_id)) r").replace(
+        "SELECT r.doc_id, r.page, r.line_idx, r.text,", "SELECT r.*,"
+    )
+    + f""") SELECT doc_id, line_idx, text, {', '.join(tr.LAYOUT_FEATURES)}, label,
+       CASE label WHEN 'Title' THEN 0 WHEN 'H1' THEN 1 WHEN 'H2' THEN 2 WHEN 'H3' THEN 3 WHEN 'H4' THEN 4 ELSE 5 END::INTEGER AS class
+       FROM titled""",
+)
+def train_set_text(t: Tables):
+    rows = tr.text_training_set(ln.with_page_context(t.features), t.labels)
+    return rows.select("doc_id", "line_idx", "text", *tr.LAYOUT_FEATURES, "label", "class")
+
+
+SIMPLE_EXAMPLES = (
+    CONTEXT + "," + TRUTH
+    + f", labelled AS ({_label_sql('(SELECT * FROM context SEMI JOIN good USING (doc_id))', 'r.*', 'arg_min', KNOWN + ', ' + chr(39) + 'H4' + chr(39))})"
+)
+
+
+@query(
+    "train_counts",
+    "WITH " + SIMPLE_EXAMPLES
+    + """ SELECT 'samples' AS counter, count(*) AS n FROM labelled WHERE label <> 'H4'
+          UNION ALL SELECT 'headings', count(*) FROM labelled WHERE label NOT IN ('H4', 'BODY')
+          UNION ALL SELECT 'skipped documents', count(*) FROM documents ANTI JOIN good USING (doc_id)""",
+)
+def train_counts(t: Tables):
+    return tr.training_counts(line_examples(t, words=False), t.documents, t.labels)
+
+
+@query(
+    "class_report",
+    "WITH " + SIMPLE_EXAMPLES
+    + """,
+pairs AS (
+  SELECT label, CASE WHEN font_size >= 20 THEN 'H1' WHEN font_size >= 15 THEN 'H2' WHEN font_size >= 13 THEN 'H3' ELSE 'BODY' END
+         AS predicted FROM labelled WHERE label <> 'H4'
+),
+classes AS (SELECT unnest(['BODY', 'H1', 'H2', 'H3', 'H4']) AS class),
+counts AS (
+  SELECT class, count_if(label = class AND predicted = class) AS hits, count_if(predicted = class) AS found,
+         count_if(label = class) AS support
+  FROM classes, pairs GROUP BY class
+),
+ratios AS (
+  SELECT *, coalesce(hits / nullif(found, 0), 0) AS precision, coalesce(hits / nullif(support, 0), 0) AS recall FROM counts
+),
+scored AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM ratios)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support::BIGINT AS support FROM (
+  SELECT class, precision, recall, f1, support FROM scored
+  UNION ALL SELECT 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support), sum(support) FROM scored
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM scored
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM scored)""",
+)
+def class_report(t: Tables):
+    predicted = line_examples(t, words=False).select("label", ol.level_by_size().alias("predicted"))
+    rows = tr.classification_report(predicted, "label", "predicted", [*lb.LEVELS, "H4"])
+    return rows.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query(
+    "scale_features",
+    "WITH " + POS + " SELECT doc_id, line_idx, "
+    + ", ".join(
+        f"round(({n} - avg({n}) OVER ()) / coalesce(nullif(stddev_pop({n}) OVER (), 0), 1), 4) AS {n}" for n in tr.LINE_FEATURES
+    )
+    + " FROM pos",
+)
+def scale_features(t: Tables):
+    rows = cut(ln.with_page_context(t.all_features).select("doc_id", "line_idx", *tr.LINE_FEATURES))
+    scaled = tr.Scaling(rows, tr.LINE_FEATURES).transform(rows)
+    return scaled.select("doc_id", "line_idx", *[F.round(n, 4).alias(n) for n in tr.LINE_FEATURES])
+
+
+HASH = "('0x' || substr(md5('42-' || doc_id || '-' || line_idx), 1, 8))::BIGINT"
+
+
+@query("split_hash", "WITH " + LINES + f" SELECT doc_id, line_idx, CASE WHEN {HASH} % 1000 < 800 THEN 'train' ELSE 'test' END AS part FROM lines")
+def split_hash(t: Tables):
+    return tr.split(t.lines.select("doc_id", "line_idx"), ["doc_id", "line_idx"])
+
+
+@query(
+    "split_strat",
+    "WITH " + SIMPLE_EXAMPLES
+    + f""" SELECT doc_id, line_idx, label,
+           CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {HASH}, doc_id, line_idx) - 1
+                     < floor(count(*) OVER (PARTITION BY label) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS part
+           FROM labelled WHERE label <> 'H4'""",
+)
+def split_strat(t: Tables):
+    rows = line_examples(t, words=False).select("doc_id", "line_idx", "label")
+    return tr.split_stratified(rows, ["doc_id", "line_idx"])
+
+
+# --- Trained models: no SQL counterpart; the report is over the held-out rows --------------------------
+
+
+def _held_out(t: Tables, model, test, names, vocabulary=lb.LEVELS):
+    scored = tr.score(test, model, names, vocabulary).withColumn("label", lb.level_of("class", vocabulary))
+    return tr.classification_report(scored, "label", "level", list(vocabulary))
+
+
+def _parts(rows, keys):
+    marked = cut(tr.split(rows, keys))
+    return marked.where("part = 'train'"), marked.where("part = 'test'")
+
+
+@query("train_rf")
+def train_rf(t: Tables):
+    train, test = _parts(span_examples(t), ["doc_id", "line_idx", "span_idx"])
+    model = tr.fit(train, tr.SPAN_FEATURES, tr.random_forest())
+    return _held_out(t, model, test, tr.SPAN_FEATURES)
+
+
+@query("train_gbt")
+def train_gbt(t: Tables):
+    marked = cut(tr.split_stratified(line_examples(t), ["doc_id", "line_idx"]))
+    train, test = marked.where("part = 'train'"), marked.where("part = 'test'")
+    model = tr.fit(train, tr.LINE_FEATURES, tr.boosted_trees(rounds=GBT_ROUNDS), scale=True)
+    return _held_out(t, model, test, tr.LINE_FEATURES)
+
+
+GBT_ROUNDS = 10
+
+
+@query("train_mlp")
+def train_mlp(t: Tables):
+    train, test = _parts(span_examples(t), ["doc_id", "line_idx", "span_idx"])
+    model = tr.fit(train, tr.SPAN_FEATURES, tr.perceptron(len(tr.SPAN_FEATURES)), scale=True)
+    return _held_out(t, model, test, tr.SPAN_FEATURES)
+
+
+@query("train_text_layout")
+def train_text_layout(t: Tables):
+    rows = tr.text_training_set(ln.with_page_context(t.features), t.labels)
+    train, test = _parts(rows.select("doc_id", "line_idx", "text", *tr.LAYOUT_FEATURES, "class"), ["doc_id", "line_idx"])
+    model = tr.text_layout_classifier(train)
+    return _held_out(t, model, test, tr.LAYOUT_FEATURES, lb.TEXT_LEVELS)
+
+
+def _line_model(t: Tables):
+    train, _ = _parts(line_examples(t).select("doc_id", "line_idx", *tr.LINE_FEATURES, "class"), ["doc_id", "line_idx"])
+    return tr.fit(train, tr.LINE_FEATURES, tr.random_forest(trees=20, depth=8), scale=True)
+
+
+@query("score_lines")
+def score_lines(t: Tables):
+    """Level of every line by a model trained on the labelled ones."""
+    rows = ln.with_page_context(t.all_features)
+    return tr.score(rows, _line_model(t), tr.LINE_FEATURES).select("doc_id", "line_idx", "level")
+
+
+@query("model_roundtrip", "WITH " + POS + " SELECT count(*) AS rows, 0::BIGINT AS differing FROM pos")
+def model_roundtrip(t: Tables):
+    """Lines scored, and lines on which a saved and reloaded model disagrees with the model itself."""
+    model, folder = _line_model(t), scratch(t.spark, "model")
+    tr.save(model, folder)
+    rows = ln.with_page_context(t.all_features)
+    once = tr.score(rows, model, tr.LINE_FEATURES).withColumnRenamed("level", "level_before")
+    again = tr.score(once, tr.load(folder), tr.LINE_FEATURES)
+    return again.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("level").eqNullSafe(F.col("level_before"))).alias("differing")
+    )

@@ -1 +1,167 @@
-"""To come."""
+"""Collection reports, their validation, and the parse cache."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foliolens.catalog.base import Tables, query, sql_strip
+from foliolens.catalog.relevance import REFINED, chosen
+from foliolens.functions.text import clean_title
+from foliolens.operators import report as rp
+from foliolens.plans.chunks import chunk_of, numbered
+from foliolens.plans.lineage import cut, lookup_join, scratch
+from foliolens.sources import cache, files
+from foliolens.sources.schemas import COLLECTION_SCHEMA
+
+TITLED = (
+    REFINED
+    + rf""",
+titled AS (
+  SELECT *, 'doc-' || doc_id AS document,
+         CASE WHEN length(s) <= 100 THEN s WHEN instr(s, '.') BETWEEN 2 AND 100 THEN substr(s, 1, instr(s, '.'))
+              ELSE rtrim(substr(s, 1, 100)) || '...' END AS section_title, page + 1 AS page_number
+  FROM (SELECT *, {sql_strip("regexp_replace(text, '[ ]+', ' ', 'g')")} AS s FROM chosen)
+)"""
+)
+
+
+def titled(t: Tables):
+    return chosen(t).select(
+        "collection",
+        "doc_id",
+        clean_title("text").alias("title"),
+        "importance_rank",
+        (F.col("page") + 1).alias("page"),
+        "refined_text",
+    )
+
+
+def reports(t: Tables):
+    documents = t.documents.select(
+        F.col("source").alias("collection"), "doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document")
+    )
+    return rp.assemble(t.configs, documents, titled(t))
+
+
+@query(
+    "report_sections",
+    "WITH " + TITLED
+    + " SELECT collection, document, section_title, importance_rank, page_number, refined_text FROM titled",
+)
+def report_sections(t: Tables):
+    """The two lists of the reports, side by side again."""
+    parsed = rp.parse_reports(rp.report_json(reports(t)))
+    pairs = F.arrays_zip("extracted_sections", "subsection_analysis")
+    rows = parsed.select("collection", F.explode(pairs).alias("p"))
+    return rows.select(
+        "collection",
+        "p.extracted_sections.document",
+        "p.extracted_sections.section_title",
+        "p.extracted_sections.importance_rank",
+        "p.extracted_sections.page_number",
+        "p.subsection_analysis.refined_text",
+    )
+
+
+@query(
+    "report_json",
+    "WITH " + TITLED
+    + """ SELECT collection, 0 AS part, c.persona, c.job, d.documents::INTEGER AS documents, coalesce(s.sections, 0)::INTEGER AS sections,
+                 1 AS stamped
+          FROM configs c JOIN (SELECT source AS collection, count(*) AS documents FROM documents GROUP BY source) d USING (collection)
+          LEFT JOIN (SELECT collection, count(*) AS sections FROM titled GROUP BY collection) s USING (collection)""",
+)
+def report_json(t: Tables):
+    """What the JSON reports hold, but for the time stamp, of which only the form is looked at."""
+    parsed = rp.parse_reports(rp.report_json(reports(t)))
+    return parsed.select(
+        "collection",
+        "part",
+        "metadata.persona",
+        F.col("metadata.job_to_be_done").alias("job"),
+        F.size("metadata.input_documents").alias("documents"),
+        F.size("extracted_sections").alias("sections"),
+        F.col("metadata.processing_timestamp").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.]+$").cast("int").alias("stamped"),
+    )
+
+
+RULES = [
+    "metadata present", "sections present", "analysis present", "metadata.input_documents present",
+    "metadata.persona present", "metadata.job_to_be_done present", "metadata.processing_timestamp present",
+    "sections.document present", "sections.section_title present", "sections.importance_rank present",
+    "sections.page_number present", "analysis.document present", "analysis.refined_text present",
+    "analysis.page_number present", "sections not empty", "analysis not empty", "persona equal", "job equal",
+    "document count equal",
+]
+
+# In the expectations, collections whose name ends in 7 have another persona, and each misses its Spanish documents.
+VIOLATIONS = {
+    "sections.section_title present": "SELECT count(*) FROM titled WHERE section_title IS NULL",
+    "analysis.refined_text present": "SELECT count(*) FROM titled WHERE refined_text IS NULL",
+    "sections not empty": "SELECT count(*) FROM configs WHERE collection NOT IN (SELECT collection FROM titled)",
+    "analysis not empty": "SELECT count(*) FROM configs WHERE collection NOT IN (SELECT collection FROM titled)",
+    "persona equal": "SELECT count(*) FROM configs WHERE collection LIKE '%7'",
+    "document count equal": "SELECT count(DISTINCT source) FROM documents WHERE lang = 'es'",
+}
+
+
+@query(
+    "validate_report",
+    "WITH " + TITLED + " "
+    + " UNION ALL ".join(f"SELECT '{r}' AS rule, ({VIOLATIONS.get(r, 'SELECT 0')})::BIGINT AS violations" for r in RULES),
+)
+def validate_report(t: Tables):
+    parsed = cut(rp.parse_reports(rp.report_json(reports(t))))
+    counts = t.documents.groupBy(F.col("source").alias("collection")).agg(
+        F.count_if(F.col("lang") != "es").alias("documents")
+    )
+    persona = F.when(F.col("collection").endswith("7"), F.upper("persona")).otherwise(F.col("persona"))
+    truth = t.configs.join(counts, "collection").select(
+        "collection", F.lit(0).alias("part"), persona.alias("persona"), "job", "documents"
+    )
+    return rp.validate(parsed, truth)
+
+
+@query(
+    "src_collection",
+    """SELECT collection, part, collection AS persona, CASE WHEN collection LIKE '%7' THEN '' ELSE job END AS job,
+              count(*)::INTEGER AS documents
+       FROM (SELECT source AS collection,
+                    ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100)::INTEGER AS part FROM documents)
+       JOIN (SELECT source AS collection, arg_min(split_part(text, chr(10), 1), doc_id) AS job FROM documents GROUP BY source)
+         USING (collection) GROUP BY collection, part, job""",
+)
+def src_collection(t: Tables):
+    """Configs of up to 100 documents stored as JSON and read back; those of collections ending in 7 lack the job."""
+    folder = scratch(t.spark, "collections")
+    name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    spaced = t.documents.select(F.col("source").alias("collection"), "doc_id", chunk_of("doc_id").alias("chunk"))
+    placed = numbered(spaced, ["collection"], "chunk", ["doc_id"], "place")
+    listed = placed.groupBy("collection", F.floor(F.col("place") / 100).cast("string").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct(name.alias("filename"), F.lit("").alias("title")))).alias("documents")
+    )
+    job = F.when(F.col("collection").endswith("7"), F.lit(None)).otherwise(F.struct(F.col("job").alias("task")))
+    lookup_join(listed, t.configs, ["collection"], "inner", salt="part").select(
+        F.struct(F.col("collection").alias("challenge_id"), F.col("part").alias("test_case_name")).alias("challenge_info"),
+        "documents",
+        F.struct(F.col("persona").alias("role")).alias("persona"),
+        job.alias("job_to_be_done"),
+    ).write.json(folder)
+    back = t.spark.read.schema(COLLECTION_SCHEMA).json(folder)
+    return back.select(
+        F.col("challenge_info.challenge_id").alias("collection"),
+        F.col("challenge_info.test_case_name").cast("int").alias("part"),
+        *files.collection_columns(),
+    ).withColumn("documents", F.size("documents"))
+
+
+@query(
+    "cache_new_docs",
+    """SELECT doc_id, md5('docs/' || doc_id || '.pdf') AS cache_key FROM documents
+       WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def cache_new_docs(t: Tables):
+    """Documents with labels count as parsed before: their keys form the cache table."""
+    path = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".pdf"))
+    parsed = t.read("labels").select(cache.cache_key(path).alias("cache_key"))
+    return cache.new_documents(t.documents.select("doc_id"), parsed, cache.cache_key(path)).select("doc_id", "cache_key")
