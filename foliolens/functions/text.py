@@ -80,11 +80,19 @@ def squeeze(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(_col(text), F.lit(f"[^{SPACE_CLASS}]+")).cast("int")
+    return words_of_collapsed(squeeze(text))
 
 
-def alnum_count(text: Column | str) -> Column:
-    return F.char_length(F.regexp_replace(_col(text), "[^\\p{L}\\p{N}]", "")).cast("int")
+def words_of_collapsed(text: Column | str) -> Column:
+    """Word count of text that `collapse` returned: single white space characters stand between words alone."""
+    text = _col(text)
+    gaps = F.char_length(text) - F.char_length(F.translate(text, WHITESPACE, ""))
+    return F.when(text == "", 0).otherwise(gaps + 1).cast("int")
+
+
+def has_alnum(text: Column | str, at_least: int) -> Column:
+    """At least so many letters or digits of any script; reads no further than to the last one needed."""
+    return _col(text).rlike(f"(?:[\\p{{L}}\\p{{N}}][^\\p{{L}}\\p{{N}}]*+){{{at_least}}}")
 
 
 def has_ascii_alnum(text: Column | str) -> Column:

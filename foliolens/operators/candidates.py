@@ -19,18 +19,18 @@ RUN_FIELDS = ["font_size", "bold", "is_upper", "ends_with_colon", "is_short", "i
 
 def not_page_last() -> Column:
     """Keeps lines whose text differs from the bottom-most line of the page; needs the page context."""
-    return tx.strip("text") != tx.strip("page_last_text")
+    return F.col("text") != F.col("page_last_text")
 
 
 def drop_repeats(lines: DataFrame, counted: DataFrame | None = None, min_repeat: int = 3) -> DataFrame:
-    """Drops lines whose text and rounded top occur at least `min_repeat` times in the document.
+    """Drops lines whose (collapsed) text and rounded top occur at least `min_repeat` times in the document.
 
     Occurrences are counted over `counted` (all lines of the document), by default over `lines`.
     Only repeated keys are joined back, each cut into pieces by page, as a running header may
     make up most of a table.
     """
     counted = lines if counted is None else counted
-    key = [F.lower(tx.strip("text")).alias("_text"), F.bround("line_top", 1).alias("_top")]
+    key = [F.lower("text").alias("_text"), F.bround("line_top", 1).alias("_top")]
     repeated = (
         counted.select("doc_id", *key)
         .groupBy("doc_id", "_text", "_top")
@@ -44,9 +44,9 @@ def drop_repeats(lines: DataFrame, counted: DataFrame | None = None, min_repeat:
 
 
 def short_enough(min_alnum: int = 3, max_length: int = 100, max_words: int = 15) -> Column:
-    text = tx.strip("text")
+    """Short lines with some letters or digits; the cheap tests on ready features come first."""
     return (
-        (tx.alnum_count(text) >= min_alnum) & (F.char_length(text) <= max_length) & (tx.word_count(text) <= max_words)
+        (F.col("length") <= max_length) & (F.col("num_words") <= max_words) & tx.has_alnum("text", min_alnum)
     )
 
 

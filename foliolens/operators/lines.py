@@ -69,21 +69,22 @@ def blocks_from_spans(spans: DataFrame) -> DataFrame:
 
 
 def line_flags() -> list[Column]:
-    """Row-local features of a line's text and page."""
+    """Row-local features of a line with collapsed text."""
+    words = tx.words_of_collapsed("text")
     return [
         F.char_length("text").alias("length"),
         tx.is_upper("text").alias("is_upper"),
         tx.ends_with_colon("text").alias("ends_with_colon"),
-        (tx.word_count("text") <= 8).cast("int").alias("is_short"),
+        (words <= 8).cast("int").alias("is_short"),
         tx.is_numbered("text").alias("is_numbered"),
         (F.col("page") == 0).cast("int").alias("first_page"),
-        tx.word_count("text").alias("num_words"),
+        words.alias("num_words"),
     ]
 
 
 def with_line_features(lines: DataFrame, bold_mask: int = 2, words: bool = True) -> DataFrame:
     """Adds bold, text and word-class features; drops lines without an ASCII letter or digit."""
-    kept = lines.withColumn("text", tx.collapse("text")).where(tx.has_ascii_alnum("text"))
+    kept = lines.where(tx.has_ascii_alnum("text")).withColumn("text", tx.collapse("text"))
     features = kept.select(
         "*", tx.bold_from_flags("flags", bold_mask).alias("bold"), *line_flags()
     ).withColumn("indent", F.bround("indent", 2))

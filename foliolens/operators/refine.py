@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliolens.functions.text import sentences, tokens
-from foliolens.operators.relevance import SCORE_DIGITS, section_tokens
+from foliolens.operators.relevance import SCORE_DIGITS, document_frequencies
+from foliolens.plans.lineage import cut
 
 
 def refine(chosen: DataFrame, sections: DataFrame, keep: int = 3, max_chars: int = 800, trim: int | None = None) -> DataFrame:
     """Adds refined_text: the `keep` sentences of highest mean term weight, in their own order, up to `max_chars`.
 
     `chosen` are the few sections per document to summarise, `sections` all of them (for document frequencies).
+    The chosen rows are used several times and therefore written out first.
     Whole texts are read; `trim` limits the characters looked at, where that is wanted.
     """
+    chosen = cut(chosen)
     text = F.substring("text", 1, trim) if trim else F.col("text")
     key = ["doc_id", "section_idx"]
     split = chosen.select(*key, F.posexplode(sentences(text)).alias("at", "sentence"))
     words = split.select(*key, "at", F.explode(tokens("sentence")).alias("term"))
     counts = words.groupBy(*key, "at", "term").agg(F.count(F.lit(1)).alias("in_sentence"))
     of_section = Window.partitionBy(*key, "term")
-    frequencies = section_tokens(sections).distinct().groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    frequencies = document_frequencies(sections)
     sizes = sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0
     scored = (

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from foliolens.functions.text import clean_title
 from foliolens.plans.chunks import attach, chunk_of, running_sum
 
-SMALL_HISTOGRAM = 48
+SMALL_HISTOGRAM = 12
+MATRIX_HISTOGRAM = 512
 SSE_DIGITS = 6
 
 
@@ -45,7 +46,8 @@ def _best_cuts(bins: Column, size: Column) -> Column:
 
 
 def _long_histogram_cuts(batches: Iterator) -> Iterator:
-    """The same for long histograms: the best border moves right with the end of the prefix, so halving suffices."""
+    """The same for longer histograms: all pairs of borders as one matrix or, for very long ones, by halving, as
+    the best first border only moves right with the end of the prefix."""
     import numpy as np
     import pandas as pd
 
@@ -56,6 +58,14 @@ def _long_histogram_cuts(batches: Iterator) -> Iterator:
         def spread(i, j):
             return squares[j] - squares[i] - (total[j] - total[i]) ** 2 / (count[j] - count[i])
 
+        if size <= MATRIX_HISTOGRAM:
+            first, second = np.arange(1, size - 1)[:, None], np.arange(2, size)[None, :]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cost = spread(0, first) + spread(first, second) + spread(second, size)
+            cost = np.where(first < second, np.round(cost, SSE_DIGITS), np.inf)
+            at = np.unravel_index(int(np.argmin(cost)), cost.shape)
+            return int(first[at[0], 0]), int(second[0, at[1]])
+
         best, border = np.full(size + 1, np.inf), np.zeros(size + 1, dtype=int)
         stack = [(2, size - 1, 1, size - 2)]
         while stack:
@@ -108,13 +118,13 @@ def size_borders(blocks: DataFrame, digits: int = 2) -> DataFrame:
     def at(index: Column) -> Column:
         return F.get(bins_column, index)["points"]
 
-    few = histograms.where(size <= 3).select(
-        "doc_id", at(size - 1).alias("h1_from"), F.coalesce(at(size - 2), at(size - 1)).alias("h2_from")
-    )
+    one_each = F.array(F.coalesce(at(size - 2), at(size - 1)), at(size - 1))
+    cut_points = F.array(at(F.col("cut.first")), at(F.col("cut.second")))
     short = (
-        histograms.where((size > 3) & (size <= SMALL_HISTOGRAM))
-        .withColumn("cut", _best_cuts(bins_column, size))
-        .select("doc_id", at(F.col("cut.second")).alias("h1_from"), at(F.col("cut.first")).alias("h2_from"))
+        histograms.where(size <= SMALL_HISTOGRAM)
+        .withColumn("cut", F.when(size > 3, _best_cuts(bins_column, size)))
+        .withColumn("from", F.when(size > 3, cut_points).otherwise(one_each))
+        .select("doc_id", F.col("from")[1].alias("h1_from"), F.col("from")[0].alias("h2_from"))
     )
     kind = blocks.schema["doc_id"].dataType.simpleString()
     long = (
@@ -128,7 +138,7 @@ def size_borders(blocks: DataFrame, digits: int = 2) -> DataFrame:
         )
         .mapInPandas(_by_value(_long_histogram_cuts), f"doc_id {kind}, h1_from double, h2_from double")
     )
-    return few.unionByName(short).unionByName(long)
+    return short.unionByName(long)
 
 
 def _by_value(function):

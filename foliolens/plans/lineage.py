@@ -44,16 +44,19 @@ def fits_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 def lookup_join(
     big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salt: str | None = None, pieces: int = 64
 ) -> DataFrame:
-    """Join a lookup table to a big one whose keys may be badly skewed.
+    """Join a lookup table, written out first so that its size is known, to a big one whose keys may be skewed."""
+    return sized_join(big, cut(small), on, how, salt or on[0], pieces)
 
-    `small` is broadcast when its row count proves it fits.  Beyond that, rows of one key are spread
-    over `pieces` by a hash of the `salt` column and the lookup is repeated for each piece, so
-    that no task gets all rows of a hot key.
+
+def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str, salt: str, pieces: int = 64) -> DataFrame:
+    """Join by broadcast where a count proves that `small` fits.
+
+    Beyond that, rows of one key are spread over `pieces` by a hash of the `salt` column and the lookup is
+    repeated for each piece, so that no task gets all rows of a hot key.
     """
-    small = cut(small)
     if fits_broadcast(small):
         return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, how, salt or on[0], pieces)
+    return salted_join(big, small, on, how, salt, pieces)
 
 
 def salted_join(

@@ -10,9 +10,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Postings are laid out by (doc_id, chunk) once; joins and groupings on wider keys
-    # may then use that layout instead of shuffling every posting again.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Joins on (keys, chunk) must shuffle by all of their keys: with less, a side that is already laid out by
+    # document would pull all chunks of a huge document into one task.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    # Groupings and windows may use a layout by some of their keys, such as (doc_id, chunk) for postings.
     "spark.sql.requireAllClusterKeysForDistribution": "false",
 }
 
@@ -36,7 +37,8 @@ def spread(table: DataFrame, key: str) -> DataFrame:
     """Give every core a share of a table whose files split into fewer tasks than cores.
 
     Parsing makes many rows out of one, so a handful of large splits would leave most cores
-    idle.  A table with enough splits is returned as it is, without a shuffle.
+    idle.  A table with enough splits is returned as it is, without a shuffle; what is shuffled here has
+    fewer splits than there are cores.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= cores:
