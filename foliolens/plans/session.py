@@ -40,6 +40,8 @@ def spread(table: DataFrame, key: str) -> DataFrame:
     idle.  A table with enough splits is returned as it is, without a shuffle; what is shuffled here has
     fewer splits than there are cores.
     """
+    if table.isStreaming:
+        return table
     cores = table.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= cores:
         return table

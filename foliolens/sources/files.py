@@ -33,9 +33,8 @@ def read_label_files(spark: SparkSession, folder: str, pattern: str = "*.json")
     The first table has doc_id, title and outline; a missing outline is empty.  The second has doc_id and content.
     """
     texts = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .text(folder)
+        spark.read.option("pathGlobFilter", pattern)
+        .text(folder, wholetext=True)
         .select(base_name(F.col("_metadata.file_path"), "\\.json").alias("_name"), "value")
         .where(~F.col("_name").endswith("_raw"))
     )
