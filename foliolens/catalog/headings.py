@@ -10,6 +10,7 @@ from foliolens.operators import candidates as cd
 from foliolens.operators import labels as lb
 from foliolens.operators import lines as ln
 from foliolens.operators import outline as ol
+from foliolens.plans import outline_flow as flow
 from foliolens.plans.lineage import cut, scratch
 from foliolens.sources import files, sinks
 
@@ -266,11 +267,6 @@ def title_first_pred(t: Tables):
     return rest.select(*ROW).unionByName(head)
 
 
-def outlines(t: Tables):
-    titles, rest = ol.promote_title(cut(ol.outline_rows(t.predicted)))
-    return ol.outline_documents(t.documents, titles, rest)
-
-
 @query(
     "outline_docs",
     "WITH "
@@ -284,7 +280,7 @@ def outlines(t: Tables):
 )
 def outline_docs(t: Tables):
     entry = F.transform("outline", lambda e: F.concat_ws("|", e["level"], e["page"].cast("string"), e["text"]))
-    return outlines(t).select(
+    return flow.outlines(t.documents, t.lines).select(
         "doc_id", "part", "title", F.size("outline").alias("headings"), F.array_join(entry, "\n").alias("entries")
     )
 
@@ -298,7 +294,7 @@ def outline_docs(t: Tables):
 )
 def sink_outline(t: Tables):
     folder = scratch(t.spark, "outlines")
-    sinks.write_outlines(outlines(t), folder)
+    sinks.write_outlines(flow.outlines(t.documents, t.lines), folder)
     back = files.read_outlines(t.spark, folder)
     return back.select("doc_id", "title", F.explode_outer("outline").alias("e")).select(
         "doc_id", "title", "e.level", "e.text", "e.page"

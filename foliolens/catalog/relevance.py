@@ -8,10 +8,11 @@ from foliolens.catalog.base import LINES, Tables, query, sql_strip
 from foliolens.catalog.layout import SPANS
 from foliolens.functions.vectors import normalised
 from foliolens.operators import lines as ln
-from foliolens.operators import ranking, refine
+from foliolens.operators import ranking
 from foliolens.operators import relevance as rv
 from foliolens.operators import sections as sc
 from foliolens.operators.encoding import cosine_to
+from foliolens.plans import ranking_flow as flow
 
 
 def _route_case(persona: str, job: str) -> str:
@@ -135,8 +136,7 @@ def cosine_dense(t: Tables):
 
 
 def scores(t: Tables):
-    queries = t.configs.select("collection", rv.route_query(F.col("persona"), F.col("job")).alias("query"))
-    return rv.section_scores(t.sections, queries, ["collection"])
+    return rv.section_scores(t.sections, flow.queries_of(t.configs), ["collection"])
 
 
 @query("cosine_terms", "WITH " + SCORES + " SELECT doc_id, section_idx, round(cosine, 5) AS cosine FROM scored")
@@ -212,16 +212,9 @@ chosen AS (SELECT top.*, coalesce(refined_text, '') AS refined_text FROM top LEF
 )
 
 
-def chosen(t: Tables):
-    """Top sections with their text, page and summary."""
-    top = rv.top_sections(scores(t)).select("collection", "doc_id", "section_idx", "importance_rank")
-    texts = t.sections.select("doc_id", "section_idx", "text", "page")
-    return refine.refine(top.join(texts, ["doc_id", "section_idx"], "inner"), t.sections)
-
-
 @query("refine_text", "WITH " + REFINED + " SELECT doc_id, section_idx, importance_rank, refined_text FROM chosen")
 def refine_text(t: Tables):
-    return chosen(t).select("doc_id", "section_idx", "importance_rank", "refined_text")
+    return flow.best_sections(t.sections, t.configs).select("doc_id", "section_idx", "importance_rank", "refined_text")
 
 
 # --- Font levels and slices -----------------------------------------------------------------------

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliolens.catalog.base import Tables, query, sql_strip
-from foliolens.catalog.relevance import REFINED, chosen
-from foliolens.functions.text import clean_title
+from foliolens.catalog.relevance import REFINED
 from foliolens.operators import report as rp
 from foliolens.plans.chunks import chunk_of, numbered
 from foliolens.plans.lineage import cut, lookup_join, scratch
+from foliolens.plans.ranking_flow import collection_reports
 from foliolens.sources import cache, files
 from foliolens.sources.schemas import COLLECTION_SCHEMA
 
@@ -25,22 +25,10 @@ titled AS (
 )
 
 
-def titled(t: Tables):
-    return chosen(t).select(
-        "collection",
-        "doc_id",
-        clean_title("text").alias("title"),
-        "importance_rank",
-        (F.col("page") + 1).alias("page"),
-        "refined_text",
-    )
-
-
 def reports(t: Tables):
-    documents = t.documents.select(
-        F.col("source").alias("collection"), "doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document")
-    )
-    return rp.assemble(t.configs, documents, titled(t))
+    name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document")
+    documents = t.documents.select(F.col("source").alias("collection"), "doc_id", name)
+    return collection_reports(documents, t.sections, t.configs)
 
 
 @query(

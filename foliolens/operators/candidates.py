@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from foliolens.functions import text as tx
 from foliolens.operators.lines import with_page_context
-from foliolens.plans.chunks import carry, chunk_of
-from foliolens.plans.lineage import cut, salted_join
+from foliolens.plans.chunks import ROWS_PER_CHUNK, carry, chunk_of
+from foliolens.plans.lineage import cut, salted_join, sized_join
 
 MEAN_TOLERANCE = 1e-9
 BAND_POINTS = 256
@@ -64,17 +64,34 @@ def filter_candidates(lines: DataFrame, z: float = 0.25, remove_repeats: bool =
     return drop_repeats(kept, counted=lines) if remove_repeats else kept
 
 
-def with_runs(candidates: DataFrame, band: float = BAND_POINTS) -> DataFrame:
+def _banded(candidates: DataFrame, band: float, limit: int) -> DataFrame:
+    """Adds _chunk, which follows (line_top, line_idx) inside a page: bands of fixed height.
+
+    Lines do not overlap on a real page, so a band holds few.  Where it holds more than `limit` all the same (no
+    layout, one top for all lines), the band is cut further by top and by ranges of line_idx.
+    """
+    banded = candidates.withColumn("_band", chunk_of("line_top", band))
+    keys = ["doc_id", "page", "_band"]
+    crowded = cut(banded.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n"))
+    if crowded.isEmpty():
+        return banded.withColumnRenamed("_band", "_chunk")
+    marked = sized_join(banded, crowded.withColumn("_crowded", F.lit(True)), keys, "left", salt="line_idx")
+    inside = F.coalesce("_crowded", F.lit(False))
+    top = F.when(inside, F.col("line_top")).otherwise(F.lit(0.0))
+    part = F.when(inside, chunk_of("line_idx", limit)).otherwise(F.lit(0).cast("long"))
+    return marked.withColumn("_chunk", F.struct("_band", top.alias("top"), part.alias("part"))).drop("_band", "_crowded")
+
+
+def with_runs(candidates: DataFrame, band: float = BAND_POINTS, limit: int = ROWS_PER_CHUNK) -> DataFrame:
     """Numbers, per page, the runs of neighbouring candidates that agree in the run fields.
 
-    Neighbours are taken by line_top.  A page is cut into bands of fixed height, so a task sees the lines
-    of one band; runs go on across bands.
+    Neighbours are taken by line_top.  A task sees the lines of one band of a page; runs go on across bands.
     """
     keys, order = ["doc_id", "page"], ["line_top", "line_idx"]
     rank, fields = F.struct(*order), F.struct(*RUN_FIELDS)
     inner = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     previous = F.lag(fields).over(inner)
-    local = candidates.withColumn("_chunk", chunk_of("line_top", band)).withColumn(
+    local = _banded(candidates, band, limit).withColumn(
         "_starts", (previous.isNotNull() & ~previous.eqNullSafe(fields)).cast("int")
     )
     summaries = [
@@ -96,13 +113,13 @@ def with_runs(candidates: DataFrame, band: float = BAND_POINTS) -> DataFrame:
     )
 
 
-def merge_runs(candidates: DataFrame, band: float = BAND_POINTS) -> DataFrame:
+def merge_runs(candidates: DataFrame, band: float = BAND_POINTS, limit: int = ROWS_PER_CHUNK) -> DataFrame:
     """One row per run: texts joined, lengths and word counts added, extent widened, the rest from its first line."""
     rank = F.struct("line_top", "line_idx")
     changed = {"text", "length", "num_words", "line_top", "line_bottom"}
     first = [c for c in candidates.columns if c not in changed | {"doc_id", "page"}]
     pieces = F.array_sort(F.collect_list(F.struct("line_top", "line_idx", "text")))
-    merged = with_runs(candidates, band).groupBy("doc_id", "page", "run_id").agg(
+    merged = with_runs(candidates, band, limit).groupBy("doc_id", "page", "run_id").agg(
         F.array_join(F.transform(pieces, lambda p: p["text"]), " ").alias("text"),
         F.sum("length").cast("int").alias("length"),
         F.sum("num_words").cast("int").alias("num_words"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.plans.chunks import numbered
+from foliolens.operators.candidates import BAND_POINTS
+from foliolens.plans.chunks import chunk_of, numbered
 from foliolens.plans.lineage import salted_join
 
 ENTRIES_PER_PART = 10_000
@@ -62,7 +63,8 @@ def outline_documents(
     A document of more than `per_part` headings goes on in further parts, so no task has to hold
     the headings of a huge document in one array.
     """
-    placed = numbered(rows, ["doc_id"], "page", ["line_top", "line_idx"], "pos")
+    chunked = rows.withColumn("_chunk", F.struct("page", chunk_of("line_top", BAND_POINTS).alias("band")))
+    placed = numbered(chunked, ["doc_id"], "_chunk", ["line_top", "line_idx"], "pos")
     entry = F.struct("pos", "level", "text", "page")
     lists = placed.groupBy("doc_id", F.floor(F.col("pos") / per_part).cast("int").alias("part")).agg(
         F.transform(

@@ -2,45 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.functions.text import sentences, tokens
-from foliolens.operators.relevance import SCORE_DIGITS, document_frequencies
-from foliolens.plans.lineage import cut
+from foliolens.operators.relevance import SCORE_DIGITS
 
 
-def refine(chosen: DataFrame, sections: DataFrame, keep: int = 3, max_chars: int = 800, trim: int | None = None) -> DataFrame:
-    """Adds refined_text: the `keep` sentences of highest mean term weight, in their own order, up to `max_chars`.
+def refined_text(text: Column, terms: Column, keep: int = 3, max_chars: int = 800) -> Column:
+    """The `keep` sentences of highest mean term weight, in their own order, up to `max_chars`.
 
-    `chosen` are the few sections per document to summarise, `sections` all of them (for document frequencies).
-    The chosen rows are used several times and therefore written out first.
-    Whole texts are read; `trim` limits the characters looked at, where that is wanted.
+    `terms` maps the section's terms to their weights.  Equal means, at nine decimals, go by position.
     """
-    chosen = cut(chosen)
-    text = F.substring("text", 1, trim) if trim else F.col("text")
-    key = ["doc_id", "section_idx"]
-    split = chosen.select(*key, F.posexplode(sentences(text)).alias("at", "sentence"))
-    words = split.select(*key, "at", F.explode(tokens("sentence")).alias("term"))
-    counts = words.groupBy(*key, "at", "term").agg(F.count(F.lit(1)).alias("in_sentence"))
-    of_section = Window.partitionBy(*key, "term")
-    frequencies = document_frequencies(sections)
-    sizes = sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0
-    scored = (
-        counts.withColumn("tf", F.sum("in_sentence").over(of_section))
-        .join(frequencies, ["doc_id", "term"], "inner")
-        .join(sizes, "doc_id", "inner")
-        .groupBy(*key, "at")
-        .agg((F.sum(F.col("in_sentence") * F.col("tf") * idf) / F.sum("in_sentence")).alias("mean_weight"))
-    )
-    ranked = split.join(scored, [*key, "at"], "left").withColumn(
-        "place",
-        F.row_number().over(
-            Window.partitionBy(*key).orderBy(F.round(F.coalesce("mean_weight", F.lit(0.0)), SCORE_DIGITS).desc(), "at")
+
+    def mean_weight(words: Column) -> Column:
+        total = F.aggregate(words, F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(F.element_at(terms, t), F.lit(0.0)))
+        return F.when(F.size(words) > 0, total / F.size(words)).otherwise(F.lit(0.0))
+
+    split = F.transform(sentences(text), lambda s, i: F.struct(i.alias("at"), s.alias("sentence"), tokens(s).alias("words")))
+    weighed = F.transform(
+        split,
+        lambda s: F.struct(
+            (-F.round(mean_weight(s["words"]), SCORE_DIGITS)).alias("below"), s["at"].alias("at"), s["sentence"].alias("sentence")
         ),
     )
-    pieces = F.array_sort(F.collect_list(F.struct("at", "sentence")))
-    joined = F.array_join(F.transform(pieces, lambda p: p["sentence"]), " ")
-    texts = ranked.where(F.col("place") <= keep).groupBy(*key).agg(F.substring(joined, 1, max_chars).alias("refined_text"))
-    return chosen.join(texts, key, "left").withColumn("refined_text", F.coalesce("refined_text", F.lit("")))
+    best = F.transform(F.slice(F.array_sort(weighed), 1, keep), lambda s: F.struct(s["at"].alias("at"), s["sentence"].alias("sentence")))
+    return F.substring(F.array_join(F.transform(F.array_sort(best), lambda s: s["sentence"]), " "), 1, max_chars)
+
+
+def refine(chosen: DataFrame, keep: int = 3, max_chars: int = 800, trim: int | None = None) -> DataFrame:
+    """Adds refined_text to sections that carry their text and `terms`; each row is summarised by itself.
+
+    Whole texts are read; `trim` limits the characters looked at, where that is wanted.
+    """
+    text = F.substring("text", 1, trim) if trim else F.col("text")
+    return chosen.withColumn("refined_text", refined_text(text, F.col("terms"), keep, max_chars))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.plans.chunks import chunk_of, numbered
+from foliolens.plans.chunks import numbered
 from foliolens.plans.lineage import lookup_join
 from foliolens.sources.schemas import REPORT_SCHEMA
 
 DOCUMENTS_PER_PART = 5_000
+HASH_RANGES = 4096
 
 
 def assemble(
@@ -17,11 +18,13 @@ def assemble(
 ) -> DataFrame:
     """One report per collection: metadata, ranked sections, and the refined texts of those that have one.
 
-    `configs` is (collection, persona, job); `documents` is (collection, doc_id, document), with a whole-number
-    doc_id; `sections` is (collection, doc_id, title, importance_rank, page, refined_text).  A collection of
-    more than `per_part` documents goes on in further parts, each a report of its own.
+    `configs` is (collection, persona, job); `documents` is (collection, doc_id, document); `sections` is
+    (collection, doc_id, title, importance_rank, page, refined_text).  A collection of more than `per_part`
+    documents goes on in further parts, each a report of its own; documents are dealt to parts by hash ranges,
+    so a collection of any size is numbered by many tasks.
     """
-    spaced = documents.select("collection", "doc_id", "document", chunk_of("doc_id").alias("_chunk"))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGES)).alias("_chunk")
+    spaced = documents.select("collection", "doc_id", "document", bucket)
     placed = numbered(spaced, ["collection"], "_chunk", ["doc_id"], "_place")
     parted = placed.withColumn("part", F.floor(F.col("_place") / per_part).cast("int")).drop("_chunk", "_place")
     listed = parted.join(sections.drop("collection"), "doc_id", "left")

@@ -97,8 +97,8 @@ def test_header_seen_twice_stays_and_three_times_goes(rows):
     assert {(r.doc_id, r.n) for r in kept.groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {(2, 2)}
 
 
-@pytest.mark.parametrize("band", [1, 30, 256, 10_000])
-def test_merge_across_bands(rows, band):
+@pytest.mark.parametrize("band, limit", [(1, 4096), (30, 4096), (256, 4096), (10_000, 4096), (10_000, 3), (100, 2), (50, 1)])
+def test_merge_across_bands(rows, band, limit):
     data = page_lines(seed=9, docs=2, pages=2, lines=31, sizes=(12.0,))
     features = ln.with_page_context(featured(rows, data)).cache()
     keys = cd.RUN_FIELDS
@@ -113,7 +113,7 @@ def test_merge_across_bands(rows, band):
             last["line_bottom"] = max(last["line_bottom"], row["line_bottom"])
         else:
             expected.append(dict(row))
-    merged = [r.asDict() for r in cd.merge_runs(features, band).collect()]
+    merged = [r.asDict() for r in cd.merge_runs(features, band, limit).collect()]
     order = lambda r: (r["doc_id"], r["page"], r["line_top"], r["line_idx"])
     assert sorted(merged, key=order) == sorted(expected, key=order)
     assert len(merged) < len(data)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from foliolens.operators import ranking, refine
 from foliolens.operators import relevance as rv
 from foliolens.operators import sections as sc
+from foliolens.plans import ranking_flow
 
 BLOCK = "doc_id long, block_idx int, text string, font_size double, page int"
 
@@ -150,13 +151,24 @@ def test_routes(spark, persona, job, query):
     assert spark.range(1).select(rv.route_query(F.lit(persona), F.lit(job))).first()[0] == query
 
 
+def refined(sections, **options):
+    scored = rv.section_scores(sections, keep_terms=True).select("doc_id", "section_idx", "terms")
+    chosen = sections.where("section_idx = 0").join(scored, ["doc_id", "section_idx"])
+    return refine.refine(chosen, **options).first().refined_text
+
+
 def test_refine_keeps_sentence_order_and_limit(rows):
     text = "Common words here. Rare zebra quagga. Words here. Unique okapi!"
     sections = rows(SECTION, [(1, 0, "c", text)] + [(1, i, "c", "common words here") for i in range(1, 6)])
-    refined = refine.refine(sections.where("section_idx = 0"), sections, keep=2).first().refined_text
-    assert refined == "Rare zebra quagga. Unique okapi!"
-    short = refine.refine(sections.where("section_idx = 0"), sections, keep=1, max_chars=10).first().refined_text
-    assert len(short) == 10
-    nothing = rows(SECTION, [(2, 0, "c", "...")])
-    assert refine.refine(nothing, nothing).first().refined_text == ""
-    assert refine.refine(sections.where("section_idx = 0"), sections, trim=18).first().refined_text == "Common words here."
+    assert refined(sections, keep=2) == "Rare zebra quagga. Unique okapi!"
+    assert refined(sections, keep=1, max_chars=10) == "Rare zebra"
+    assert refined(sections, trim=18) == "Common words here."
+    assert refined(rows(SECTION, [(2, 0, "c", "...")])) == ""
+
+
+def test_flow_gives_top_sections_of_every_document(rows):
+    data = some_sections()
+    sections = rows(SECTION, data).withColumn("page", F.lit(0))
+    configs = rows("collection string, persona string, job string", [("c0", "the", "beta"), ("c1", "gamma", "")])
+    best = ranking_flow.best_sections(sections, configs).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in best} == {d: min(5, sum(r[0] == d for r in data)) for d in {r[0] for r in data}}
