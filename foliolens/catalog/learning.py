@@ -176,7 +176,7 @@ def train_gbt(t: Tables):
     return _held_out(t, model, test, tr.LINE_FEATURES)
 
 
-GBT_ROUNDS = 10
+GBT_ROUNDS = 100
 
 
 @query("train_mlp")

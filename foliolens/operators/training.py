@@ -143,9 +143,15 @@ def vector_stages(rows: DataFrame, names: list[str], scale: bool) -> list:
     return stages
 
 
-def fit(train: DataFrame, names: list[str], classifier: Estimator, scale: bool = False) -> PipelineModel:
+def fit(
+    train: DataFrame, names: list[str], classifier: Estimator, scale: bool = False, scale_on: DataFrame | None = None
+) -> PipelineModel:
+    """Train on the rows of `train`; scaling, if any, is fitted on them too, or on `scale_on` (say, all rows)."""
     rows = filled(train, names).withColumn("class", F.col("class").cast("double"))
-    return Pipeline(stages=[*vector_stages(rows, names, scale), classifier]).fit(rows)
+    basis = rows if scale_on is None else filled(scale_on, names)
+    stages = Pipeline(stages=vector_stages(basis, names, scale)).fit(basis)
+    model = Pipeline(stages=[classifier]).fit(stages.transform(rows))
+    return PipelineModel([*stages.stages, *model.stages])
 
 
 def random_forest(trees: int = 100, depth: int = 30, seed: int = 42) -> RandomForestClassifier:
@@ -156,7 +162,7 @@ def random_forest(trees: int = 100, depth: int = 30, seed: int = 42) -> RandomFo
 
 def boosted_trees(rounds: int = 100, depth: int = 6, rate: float = 0.1, seed: int = 42) -> OneVsRest:
     one = GBTClassifier(featuresCol="features", labelCol="class", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
-    return OneVsRest(classifier=one, labelCol="class", featuresCol="features")
+    return OneVsRest(classifier=one, labelCol="class", featuresCol="features", parallelism=4)
 
 
 def perceptron(inputs: int, classes: int = 4, rounds: int = 300, seed: int = 42) -> MultilayerPerceptronClassifier:

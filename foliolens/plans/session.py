@@ -28,7 +28,7 @@ def build(master: str | None = None, app: str = "foliolens", **extra: str) -> Sp
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, "spark.cleaner.referenceTracking.cleanCheckpoints": "true", **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
