@@ -19,7 +19,7 @@ RUN_FIELDS = ["font_size", "bold", "is_upper", "ends_with_colon", "is_short", "i
 
 def not_page_last() -> Column:
     """Keeps lines whose text differs from the bottom-most line of the page; needs the page context."""
-    return F.col("text") != F.col("page_last_text")
+    return ~F.col("text").eqNullSafe(F.col("page_last_text"))
 
 
 def drop_repeats(lines: DataFrame, counted: DataFrame | None = None, min_repeat: int = 3) -> DataFrame:
@@ -55,13 +55,20 @@ def large_enough(z: float = 0.25) -> Column:
     return F.col("font_size") >= F.col("page_mean") + z * F.col("page_std") - MEAN_TOLERANCE
 
 
-def filter_candidates(lines: DataFrame, z: float = 0.25, remove_repeats: bool = True) -> DataFrame:
+def filter_candidates(
+    lines: DataFrame, z: float = 0.25, remove_repeats: bool = True, min_alnum: int = 3, max_length: int = 100, max_words: int = 15
+) -> DataFrame:
     """All line filters over lines with features; the page context is added on the way.
 
-    Page statistics and repeat counts come from all lines, before any filter.
+    Page statistics and repeat counts come from all lines, before any filter.  Long lines cannot pass, so they
+    go through the shuffles without their text: only their place and size count.  Texts are kept up to twice
+    the limit, as a line that equals a short one in lower case is at most so long.
     """
-    kept = with_page_context(lines).where(short_enough() & not_page_last() & large_enough(z))
-    return drop_repeats(kept, counted=lines) if remove_repeats else kept
+    slim = lines.withColumn("text", F.when(F.col("length") <= 2 * max_length, F.col("text")))
+    kept = with_page_context(slim).where(
+        short_enough(min_alnum, max_length, max_words) & not_page_last() & large_enough(z)
+    )
+    return drop_repeats(kept, counted=slim.where(F.col("text").isNotNull())) if remove_repeats else kept
 
 
 def _banded(candidates: DataFrame, band: float, limit: int) -> DataFrame:

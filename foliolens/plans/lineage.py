@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,9 +40,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def fits_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most `limit` rows; reads no more than limit + 1 of them."""
-    return table.limit(limit + 1).count() <= limit
+def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, bytes_: int = BROADCAST_BYTES) -> bool:
+    """Whether the table has at most so many rows and bytes (as JSON text); reads no more than one row above the limit."""
+    size = F.octet_length(F.to_json(F.struct(*table.columns)))
+    measured = table.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    return measured["rows"] <= rows and (measured["bytes"] or 0) <= bytes_
 
 
 def lookup_join(

@@ -27,7 +27,7 @@ def test_numbering_and_running_sum(rows, size):
 def test_joins_with_and_without_broadcast(rows):
     big = rows("k int, i int", [(i % 3, i) for i in range(300)])
     small = rows("k int, name string", [(0, "a"), (1, "b")])
-    assert fits_broadcast(small, 2) and not fits_broadcast(small, 1)
+    assert fits_broadcast(small, 2) and not fits_broadcast(small, 1) and not fits_broadcast(small, 2, 10)
     wide = sorted(map(tuple, lookup_join(big, small, ["k"], "left").collect()), key=str)
     salted = sorted(map(tuple, salted_join(big, small, ["k"], "left", salt="i").collect()), key=str)
     assert wide == salted and len(wide) == 300
