@@ -54,15 +54,16 @@ def unlabelled(documents: DataFrame, labels: DataFrame, need_outline: bool = Fal
 
 def _match(rows: DataFrame, entries: DataFrame, choose, page_base: int, lower: bool, default: str) -> DataFrame:
     def key(text: str) -> Column:
-        return F.lower(strip(text)) if lower else strip(text)
+        """Digest of the text to match, so that a long text does not cross the shuffle twice."""
+        return F.sha2(F.lower(strip(text)) if lower else strip(text), 256)
 
     per_key = (
-        entries.withColumn("_text", key("text"))
-        .groupBy("doc_id", (F.col("page") - page_base).alias("page"), "_text")
+        entries.withColumn("_key", key("text"))
+        .groupBy("doc_id", (F.col("page") - page_base).alias("page"), "_key")
         .agg(choose("level", "pos").alias("label"))
     )
-    joined = salted_join(rows.withColumn("_text", key("text")), per_key, ["doc_id", "page", "_text"], "left", salt=_unique(rows))
-    return joined.withColumn("label", F.coalesce("label", F.lit(default))).drop("_text")
+    joined = salted_join(rows.withColumn("_key", key("text")), per_key, ["doc_id", "page", "_key"], "left", salt=_unique(rows))
+    return joined.withColumn("label", F.coalesce("label", F.lit(default))).drop("_key")
 
 
 def _unique(rows: DataFrame) -> str:
