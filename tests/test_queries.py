@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from foliolens import catalog
 from tests.conftest import FOLDER
 from tools.compare import compare, connect
 
-SQL = entry.oracle_sql()
+SQL = catalog.SQL
 TRAINED = ["train_rf", "train_gbt", "train_mlp", "train_text_layout", "score_lines"]
 
 
@@ -23,7 +24,8 @@ def test_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql_or_trains_a_model():
-    assert set(entry.queries()) - set(SQL) == set(TRAINED)
+    assert set(catalog.QUERIES) - set(SQL) == set(TRAINED)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
