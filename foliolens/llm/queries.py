@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from foliolens.llm.exact import exact_dedup
 from foliolens.llm.hilbert import hilbert_shards
+from foliolens.llm import language, quality
 from foliolens.llm.packing import pack_documents
+from foliolens.llm.seeds import find_overlaps
 from foliolens.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +57,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", language.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return language.identify(rows, language.fit(docs)).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it overlaps the benchmark, the items, the number of spans and the longest in words."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = find_overlaps(docs, read(spark, sf_dir, "benchmark"), "hits")
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"), F.array_sort(F.array_distinct("hits.item_id")).alias("item_ids"),
+        F.size("hits").cast("long").alias("n_spans"),
+        F.coalesce(F.array_max(F.transform("hits", lambda h: h["end"] - h["first"])), F.lit(0)).cast("long").alias("longest"),
+    )

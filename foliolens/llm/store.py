@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliolens.plans.lineage import scratch
 
@@ -50,3 +51,17 @@ def ranked(table: DataFrame, order: list[str], name: str) -> tuple[DataFrame, in
     starts = spark.createDataFrame(before, "_part long, _before long")
     joined = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
     return joined.withColumn("rank", F.col("_before") + inside).drop("_part", "_before", "_at"), total
+
+
+def fresh(table: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in table.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def extended(table: DataFrame, **added: str) -> T.StructType:
+    """The table's schema with more columns."""
+    kinds = {"string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    return T.StructType([*table.schema.fields, *(T.StructField(n, kinds[k]) for n, k in added.items())])
