@@ -103,11 +103,11 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length as compressed byte planes; ascending 64-bit keys in the first are stored as differences."""
+    """Arrays of one length as compressed byte planes; ascending unsigned keys in the first are stored as differences."""
     parts = []
     for i, a in enumerate(arrays):
-        if i == 0 and a.dtype == np.uint64 and len(a):
-            a = np.append(a[:1], np.diff(a))
+        if i == 0 and a.dtype.kind == "u" and len(a):
+            a = np.append(a[:1], np.diff(a)).astype(a.dtype)
         a = np.ascontiguousarray(a)
         parts.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     head = np.array([len(arrays[0])], np.int64).tobytes()
@@ -121,5 +121,5 @@ def unpack(blob: bytes, *types: type) -> list[np.ndarray]:
         width = np.dtype(kind).itemsize
         a = np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).view(kind).reshape(n)
         at += n * width
-        out.append(np.cumsum(a, dtype=np.uint64) if i == 0 and kind is np.uint64 else a)
+        out.append(np.cumsum(a, dtype=kind) if i == 0 and np.dtype(kind).kind == "u" else a)
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliolens.llm.exact import exact_dedup
 from foliolens.llm.hilbert import hilbert_shards
 from foliolens.llm import language, quality
+from foliolens.llm.jaccard import jaccard_components
 from foliolens.llm.packing import pack_documents
 from foliolens.llm.seeds import find_overlaps
 from foliolens.sources.tables import read
@@ -49,6 +50,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs.filter(old), docs.filter(~old))
 
 
+@query("op7_ngram_jaccard")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 @query("op8_hilbert_sharding")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(read(spark, sf_dir, "documents"))
