@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliolens.llm.automata import substring_dedup
 from foliolens.llm.exact import exact_dedup
 from foliolens.llm.hilbert import hilbert_shards
 from foliolens.llm import language, quality
@@ -93,3 +94,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("hits").cast("long").alias("n_spans"),
         F.coalesce(F.array_max(F.transform("hits", lambda h: h["end"] - h["first"])), F.lit(0)).cast("long").alias("longest"),
     )
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents"))
