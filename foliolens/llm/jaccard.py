@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.llm.components import components
-from foliolens.llm.kernels import chunks, gram_hashes, lower, mix, pack, unpack, word_hashes, words
+from foliolens.llm.kernels import chunks, distinct, gram_hashes, lower, mix, pack, unpack, word_hashes, words
 from foliolens.llm.store import stage, targets
 
 WORDS = 5
@@ -38,7 +38,7 @@ def shingle_sets(offsets: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
     grams, out = gram_hashes(tokens, WORDS), []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= WORDS:
-            out.append(np.unique(grams[a : b - WORDS + 1]))
+            out.append(distinct(grams[a : b - WORDS + 1]))
         else:
             out.append(mix(gram_hashes(tokens[a:b], b - a) + np.uint64(b - a)) if b > a else np.zeros(0, np.uint64))
     return out
