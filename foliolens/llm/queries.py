@@ -14,6 +14,7 @@ from foliolens.llm import language, quality
 from foliolens.llm.jaccard import jaccard_components
 from foliolens.llm.packing import pack_documents
 from foliolens.llm.seeds import find_overlaps
+from foliolens.llm.suffixes import suffix_dedup
 from foliolens.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,11 @@ def earlier_half(docs: DataFrame):
     return F.coalesce(F.col("doc_id") <= F.lit(((low or 0) + (high or 0)) // 2), F.lit(False))
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 @query(
     "op2_exact_dedup",
     """
