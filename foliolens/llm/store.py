@@ -36,6 +36,7 @@ def ranked(table: DataFrame, order: list[str], name: str) -> tuple[DataFrame, in
     """
     spark = table.sparkSession
     pieces = targets(table)
+    table = stage(table, f"{name}-rows")  # range partitioning samples its input, which would compute it twice
     placed = stage(
         table.repartitionByRange(pieces, *order).sortWithinPartitions(*order).withColumn(
             "_at", F.monotonically_increasing_id()
