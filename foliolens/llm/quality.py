@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.llm.kernels import chunks, gram_hashes, lower, word_hashes, words
+from foliolens.llm.kernels import chunks, distinct, gram_hashes, lower, word_hashes, words
 from foliolens.llm.language import held_out
 from foliolens.llm.store import extended
 
@@ -55,11 +55,12 @@ def indicators(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nd
     forms = shapes(data, starts, ends, tokens)
     owner = np.repeat(np.arange(rows), np.diff(first))
     keys = []
-    for source, n, size, base in ((tokens, 1, WORD_BUCKETS, 0), (tokens, 2, WORD_BUCKETS, 0)):
-        grams = gram_hashes(source, n)
+    for n in (1, 2):
+        grams = gram_hashes(tokens, n)
         whole = owner[: len(grams)] == owner[n - 1 :]
-        key = owner[: len(grams)] * BUCKETS + base + (grams % np.uint64(size)).astype(np.int64)
-        keys.append(np.unique(key[whole]))
+        key = owner[: len(grams)] * BUCKETS + (grams % np.uint64(WORD_BUCKETS)).astype(np.int64)
+        keys.append(key[whole])
+    keys = [distinct(np.concatenate(keys))]
     seen = np.zeros((rows, BYTE_BUCKETS + SHAPE_BUCKETS), bool)
     byte = np.repeat(np.arange(rows), np.diff(offsets))
     if len(data) >= 3:
@@ -73,7 +74,7 @@ def indicators(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nd
         seen[owner[: len(grams)][whole], BYTE_BUCKETS + (grams[whole] % np.uint64(SHAPE_BUCKETS)).astype(np.int64)] = True
     row, bucket = np.nonzero(seen)
     keys.append(row * BUCKETS + WORD_BUCKETS + bucket)
-    key = np.unique(np.concatenate(keys))
+    key = np.sort(np.concatenate(keys))
     return key // BUCKETS, key % BUCKETS
 
 
