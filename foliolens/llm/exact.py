@@ -173,3 +173,17 @@ def exact_dedup(history: DataFrame, arrivals: DataFrame) -> DataFrame:
         "doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents in the lower half of the range of doc_id, as an earlier load would have brought them, and the others."""
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    earlier = F.coalesce(F.col("doc_id") <= F.lit(((low or 0) + (high or 0)) // 2), F.lit(False))
+    return docs.filter(earlier), docs.filter(~earlier)
+
+
+def largest_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that stay, with their columns unchanged; of repeated rows of one doc_id one stays, rows without doc_id all stay."""
+    stays = exact_dedup(*halves(docs)).filter("kept and doc_id is not null").select("doc_id").distinct()
+    known = docs.join(stays, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return known.unionByName(docs.filter("doc_id is null"))

@@ -377,7 +377,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that have the smallest doc_id of their class, unchanged; documents without shingles all stay."""
-    classes = jaccard_components(docs)
-    stays = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stays, "doc_id", "left_semi").select(*docs.columns)
+    """The documents of the smallest doc_id of their class, unchanged; those without shingles and rows without doc_id all stay."""
+    stays = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    known = docs.join(stays, "doc_id", "left_semi").select(*docs.columns)
+    return known.unionByName(docs.filter("doc_id is null"))

@@ -16,7 +16,7 @@ from foliolens.llm.store import extended, fresh
 
 BUCKETS = 1 << 13
 #: Documents in the training sample, shared evenly by the languages.
-SAMPLE = 3200
+SAMPLE = 2000
 #: A decision is ambiguous where the second codeword's loss is within this share of the first's.
 MARGIN = 0.1
 UNKNOWN = "und"
@@ -65,16 +65,15 @@ def train(x: np.ndarray, classes: np.ndarray, code: np.ndarray, rounds: int = 30
     Full gradients with momentum; each class counts the same.  A bit weighs as much in a class as its share of right decisions there.
     """
     y = code[classes].astype(np.float32)
-    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     share = (1 / np.bincount(classes, minlength=len(code)).clip(1))[classes].astype(np.float32)[:, None]
     share /= share.sum()
-    w = np.zeros((x1.shape[1], code.shape[1]), np.float32)
+    w = np.zeros((x.shape[1] + 1, code.shape[1]), np.float32)
     speed = np.zeros_like(w)
     for _ in range(rounds):
-        slope = -y / (1 + np.exp(np.clip(y * (x1 @ w), -30, 30)))
-        speed = 0.9 * speed - 2.0 * (x1.T @ (slope * share) + 1e-6 * w)
+        slope = share * -y / (1 + np.exp(np.clip(y * (x @ w[:-1] + w[-1]), -30, 30)))
+        speed = 0.9 * speed - 2.0 * (np.vstack([x.T @ slope, slope.sum(axis=0)]) + 1e-6 * w)
         w += speed
-    right = (x1 @ w) * y > 0
+    right = (x @ w[:-1] + w[-1]) * y > 0
     trust = np.array([right[classes == k].mean(axis=0) if (classes == k).any() else np.ones(code.shape[1]) for k in range(len(code))])
     return w, trust / np.maximum(trust.sum(axis=1, keepdims=True), 1e-9)
 

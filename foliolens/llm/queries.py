@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliolens.llm.automata import substring_dedup
-from foliolens.llm.exact import exact_dedup
+from foliolens.llm.exact import exact_dedup, halves
 from foliolens.llm.hilbert import hilbert_shards
 from foliolens.llm import language, quality
 from foliolens.llm.jaccard import jaccard_components
+from foliolens.llm.lines import line_dedup
 from foliolens.llm.packing import pack_documents
 from foliolens.llm.seeds import find_overlaps
 from foliolens.llm.suffixes import suffix_dedup
@@ -31,12 +32,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def earlier_half(docs: DataFrame):
-    """Condition for the first half of the range of doc_id: what an earlier load would have brought."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    return F.coalesce(F.col("doc_id") <= F.lit(((low or 0) + (high or 0)) // 2), F.lit(False))
-
-
 @query("op1_suffix_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read(spark, sf_dir, "documents"))
@@ -52,9 +47,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    old = earlier_half(docs)
-    return exact_dedup(docs.filter(old), docs.filter(~old))
+    return exact_dedup(*halves(read(spark, sf_dir, "documents")))
 
 
 @query("op7_ngram_jaccard")
@@ -81,6 +74,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op4_line_dedup",
+    r"""
+    WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    lines AS (SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM texts),
+    sets AS (SELECT doc_id, line_no, doc_id * 10000000 + line_no AS place,
+                    list_sort(list_distinct(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS t FROM lines),
+    firsts AS (SELECT t, len(t) AS size, min(place) AS place FROM sets WHERE len(t) > 0 GROUP BY t),
+    words AS (SELECT place, size, unnest(t) AS w FROM firsts),
+    counts AS (SELECT w, count(*) AS n FROM words GROUP BY w),
+    ranks AS (SELECT place, size, w, row_number() OVER (PARTITION BY place ORDER BY n, w) AS i FROM words JOIN counts USING (w)),
+    prefixes AS (SELECT place, size, w FROM ranks WHERE i <= size - (size * 80 + 99) // 100 + 1),
+    pairs AS (SELECT DISTINCT a.place AS x, b.place AS y FROM prefixes a JOIN prefixes b ON a.w = b.w AND a.place < b.place
+              WHERE least(a.size, b.size) * 100 >= greatest(a.size, b.size) * 80),
+    links AS (SELECT x, y FROM pairs JOIN firsts a ON a.place = x JOIN firsts b ON b.place = y
+              WHERE len(list_intersect(a.t, b.t)) * 180 >= 80 * (a.size + b.size)),
+    earliest AS (SELECT y AS place, min(x) AS x FROM links GROUP BY y),
+    found AS (SELECT t, least(f.place, coalesce(x, f.place)) AS first FROM firsts f LEFT JOIN earliest e ON f.place = e.place),
+    marked AS (SELECT doc_id, line_no, coalesce(first < place, false) AS gone FROM sets s LEFT JOIN found f ON s.t = f.t)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+           coalesce(string_agg(line_no, ',' ORDER BY line_no) FILTER (gone), '') AS removed_lines
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
 @query("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
