@@ -22,7 +22,7 @@ WORDS = 5
 #: Similarity of at least 80 / 100.
 PERCENT = 80
 #: Shingles or signatures that one task holds before it sends them.
-HELD = 3_000_000
+HELD = 1_000_000
 #: Longs in the bitmap of a document for the parity filter.
 BITMAP = 16
 #: Deletion variants are kept for the first of this many segments of three.

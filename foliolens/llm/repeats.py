@@ -20,7 +20,7 @@ from foliolens.llm.store import stage, targets
 _PIECE = 1 << 20
 _LOW = np.uint64((1 << 22) - 1)
 #: Anchors that one task holds before it sends them.
-HELD = 2_000_000
+HELD = 1_000_000
 
 
 def sliding_argmin(hashes: np.ndarray, width: int) -> np.ndarray:

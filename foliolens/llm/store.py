@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from foliolens.plans.lineage import scratch
 
 #: Input bytes (as the planner knows them) for each target of an exchange.
-TARGET_BYTES = 24 << 20
+TARGET_BYTES = 6 << 20
 
 
 def stage(table: DataFrame, name: str) -> DataFrame:
