@@ -28,6 +28,10 @@ BITMAP = 16
 #: Deletion variants are kept for the first of this many segments of three.
 ELIGIBLE = 3
 INDEXED, PROBING = 1, 2
+#: Documents of a group that are compared with each other in one task.
+BLOCK = 2000
+#: Rounds in which each document is compared with its nearest one in another component, before all other pairs are.
+NEAREST_ROUNDS = 3
 
 
 def shingle_sets(offsets: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
@@ -324,14 +328,63 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return some.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long")
 
 
+def _near(every: bool):
+    """Pairs of one group that are in different components and may be similar by size and bitmap.
+
+    Without `every`, only the nearest such partner of each document: as one link joins two components, others are looked at only if it fails.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, role, place, n = (table.column(c).to_numpy() for c in ("doc", "role", "component", "n"))
+        bits = np.array(table.column("bits").to_pylist(), np.int64).reshape(len(doc), BITMAP)
+        a, b = [], []
+        for i in range(len(doc)):
+            apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
+            least, most = np.minimum(n, n[i]), np.maximum(n, n[i])
+            ok = (place != place[i]) & (least * 100 >= most * PERCENT) & (apart * PERCENT <= least * (100 - PERCENT))
+            ok &= ((role[i] >= PROBING) & (role % 2 == INDEXED)) | ((role[i] % 2 == INDEXED) & (role >= PROBING))
+            found = np.flatnonzero(ok)
+            if len(found):
+                found = found if every else found[[apart[found].argmin()]]
+                a += [int(doc[i])] * len(found)
+                b += doc[found].tolist()
+        return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64))})
+
+    return run
+
+
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the component of their document so far."""
+    return rows.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """Groups that fall into several components, and how many blocks their documents make."""
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    spread = placed.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks)
+    return spread.filter("low <> high").select("gid", "blocks")
+
+
+def remaining(loose: DataFrame, found: DataFrame, every: bool) -> DataFrame:
+    """Pairs still to compare in groups that fall into several components; large groups are compared in pairs of blocks."""
+    placed = _placed(loose, found)
+    rows = placed.join(_open(placed), "gid")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "gid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc", "role", "component", "n", "bits"
+    )
+    return rows.groupBy("gid", "x", "y").applyInArrow(_near(every), "a long, b long").distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Classes of documents linked by a Jaccard similarity of at least 0.8 of their sets of 5-word shingles.
 
     1. One scan hashes shingles; equal sets are grouped by digest and represented by the smallest doc_id.  Each shingle goes to a
        target once per set, which tells how many of a document's shingles others have too: with under 80 % there is no similar document.
     2. What is left gets signatures of segments (see `signatures`).  In each group with one signature, members are compared with a
-       pivot; components of these links are found; then all other pairs of the group that may match and are not connected yet are
-       compared.  Pairs are verified on whole sets (of 64-bit shingle hashes).
+       pivot; components of these links are found; then the nearest members of different components are compared, and at last all
+       pairs of the group that may match and are not connected yet.  Pairs are verified on whole sets (of 64-bit shingle hashes).
 
     Words are maximal runs of [^\\x20\\x09-\\x0D], with A-Z lower-cased; with fewer than five words the sequence is one shingle.
     Returns a row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable, itself included).  Null and empty texts, and those
@@ -358,18 +411,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     stars = groups.filter("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
     links = stage(verified(stars, sets), "links")
     found = stage(components(links), "components")
-    # Groups that fall into several components: pairs across them that signatures allow.
-    placed = (
-        groups.filter("more").select("gid", "doc", "role").distinct().join(found.withColumnRenamed("node", "doc"), "doc", "left")
-        .withColumn("component", F.coalesce("component", "doc"))
-    )
-    open_ = placed.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("gid")
-    loose = stage(placed.join(open_, "gid"), "loose")
-    probe = loose.filter(F.col("role") >= PROBING).select("gid", F.col("doc").alias("a"), F.col("component").alias("_ca"))
-    index = loose.filter(F.col("role") % 2 == INDEXED).select("gid", F.col("doc").alias("b"), F.col("component").alias("_cb"))
-    rest = probe.join(index, "gid").filter("_ca <> _cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(verified(rest, sets), "more-links")
-    final = components(links.unionByName(more)) if not more.isEmpty() else found
+    # Groups that fall into several components: other pairs that signatures allow, the nearest first, then all that are left.
+    bits = sets.select(F.col("doc_id").alias("doc"), "n", "bits")
+    several = _placed(groups.filter("more").select("gid", "doc", "role").distinct(), found)
+    several = several.join(_open(several).select("gid"), "gid").select("gid", "doc", "role")
+    loose = stage(several.join(bits, "doc"), "loose")
+    for every in [False] * NEAREST_ROUNDS + [True]:
+        more = stage(verified(remaining(loose, found, every), sets), "more-links")
+        if not more.isEmpty():
+            links = stage(links.unionByName(more), "links")
+            found = stage(components(links), "components")
+    final = found
     class_of = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return documents.join(class_of, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
