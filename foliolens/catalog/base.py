@@ -61,11 +61,12 @@ class Tables:
 
     @cached_property
     def configs(self) -> DataFrame:
-        """One persona and job per collection: its name, and the first line of its first document."""
-        first = F.min_by(F.split_part("text", F.lit("\n"), F.lit(1)), "doc_id")
-        return self.documents.groupBy(F.col("source").alias("collection")).agg(
-            F.first("source").alias("persona"), first.alias("job")
-        )
+        """One persona and job per collection: its name, and the first user turn of the conversation of its number."""
+        asked = self.read("conversations").where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("job"))
+        sources = self.documents.select(F.col("source").alias("collection")).distinct()
+        number = F.expr("try_cast(substring(collection, 4) AS bigint)")
+        joined = sources.withColumn("conv_id", number).join(asked, "conv_id", "left")
+        return joined.select("collection", F.col("collection").alias("persona"), F.coalesce("job", F.lit("")).alias("job"))
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -136,6 +137,14 @@ def sql_words(x: str) -> str:
     return rf"len(regexp_extract_all({x}, '[^{WS}]+'))::INTEGER"
 
 
+CONFIGS = """
+configs AS (
+  SELECT collection, collection AS persona, coalesce(job, '') AS job
+  FROM (SELECT DISTINCT source AS collection FROM documents)
+  LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS job FROM conversations WHERE role = 'user' GROUP BY conv_id)
+    ON conv_id = try_cast(substr(collection, 4) AS BIGINT)
+)"""
+
 LINES = """
 raw_lines AS (
   SELECT doc_id, source, unnest(ls) AS text, (generate_subscripts(ls, 1) - 1)::INTEGER AS line_idx

@@ -144,10 +144,10 @@ KNOWN = "'H1', 'H2', 'H3'"
 @query(
     "label_join_last",
     "WITH " + SPAN_FEATURES_SQL + "," + TRUTH
-    + _label_sql("span_features", "r.doc_id, r.page, r.line_idx, r.span_idx, r.text", "arg_max", KNOWN),
+    + _label_sql("span_features", "r.doc_id, r.page, r.block_idx, r.line_idx, r.span_idx, r.text", "arg_max", KNOWN),
 )
 def label_join_last(t: Tables):
-    spans = ln.with_span_features(t.spans).select("doc_id", "page", "line_idx", "span_idx", "text")
+    spans = ln.with_span_features(t.spans).select("doc_id", "page", "block_idx", "line_idx", "span_idx", "text")
     return lb.label_last(spans, lb.in_vocabulary(t.entries))
 
 
@@ -203,7 +203,7 @@ def outline_rows(t: Tables):
     "title_span",
     "WITH "
     + SPAN_FEATURES_SQL
-    + """ SELECT doc_id, coalesce(arg_min(text, (line_idx, span_idx)) FILTER (WHERE page = 0 AND font_size >= 15 AND bold = 1),
+    + """ SELECT doc_id, coalesce(arg_min(text, (block_idx, line_idx, span_idx)) FILTER (WHERE page = 0 AND font_size >= 15 AND bold = 1),
           'Untitled') AS title FROM span_features GROUP BY doc_id""",
 )
 def title_span(t: Tables):
@@ -271,12 +271,14 @@ def title_first_pred(t: Tables):
     "outline_docs",
     "WITH "
     + OUTLINE
-    + """ SELECT d.doc_id, 0 AS part, coalesce(p.title, '') AS title, coalesce(r.headings, 0)::INTEGER AS headings,
+    + f""", parted AS (SELECT *, (page // {ol.PAGES_PER_PART})::INTEGER AS part FROM rest)
+          SELECT d.doc_id, d.part, coalesce(p.title, '') AS title, coalesce(r.headings, 0)::INTEGER AS headings,
                  coalesce(r.entries, '') AS entries
-          FROM documents d LEFT JOIN promoted p ON d.doc_id = p.doc_id
-          LEFT JOIN (SELECT doc_id, count(*) AS headings,
+          FROM (SELECT doc_id, 0::INTEGER AS part FROM documents UNION SELECT doc_id, part FROM parted) d
+          LEFT JOIN promoted p ON d.doc_id = p.doc_id
+          LEFT JOIN (SELECT doc_id, part, count(*) AS headings,
                             string_agg(level || '|' || page || '|' || text, chr(10) ORDER BY page, line_top, line_idx) AS entries
-                     FROM rest GROUP BY doc_id) r ON d.doc_id = r.doc_id""",
+                     FROM parted GROUP BY ALL) r ON d.doc_id = r.doc_id AND d.part = r.part""",
 )
 def outline_docs(t: Tables):
     entry = F.transform("outline", lambda e: F.concat_ws("|", e["level"], e["page"].cast("string"), e["text"]))

@@ -16,7 +16,7 @@ SPANS = (
     LINES
     + """,
 spans AS (
-  SELECT doc_id, page, (line_idx // 5)::INTEGER AS block_idx, line_idx, span_idx, piece AS text,
+  SELECT doc_id, page, (line_idx // 5)::INTEGER AS block_idx, (line_idx % 5)::INTEGER AS line_idx, span_idx, piece AS text,
          font_size - CASE WHEN span_idx % 2 = 1 THEN 1.5 ELSE 0 END::DOUBLE AS size,
          CASE WHEN span_idx % 2 = 1 OR font_size >= 16 THEN 'Serif-Bold' ELSE 'Serif' END AS font,
          (flags + CASE WHEN span_idx % 2 = 1 THEN 2 ELSE 0 END)::INTEGER AS flags,
@@ -172,7 +172,7 @@ kept_spans AS (
   FROM spans WHERE length({sql_strip('text')}) >= 3
 ),
 span_features AS (
-  SELECT *, round_even(abs(top - coalesce(lag(top) OVER (PARTITION BY doc_id, page ORDER BY line_idx, span_idx), 0)), 1)
+  SELECT *, round_even(abs(top - coalesce(lag(top) OVER (PARTITION BY doc_id, page ORDER BY block_idx, line_idx, span_idx), 0)), 1)
             AS spacing
   FROM kept_spans
 )"""

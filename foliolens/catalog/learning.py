@@ -29,10 +29,10 @@ def line_examples(t: Tables, words: bool = True):
     "train_set_span",
     "WITH " + SPAN_FEATURES_SQL + "," + TRUTH
     + f", labelled AS ({_label_sql('(SELECT * FROM span_features SEMI JOIN entries USING (doc_id))', 'r.*', 'arg_max', KNOWN)})"
-    + f" SELECT doc_id, line_idx, span_idx, font_size, bold, top, spacing, label, {CLASS} FROM labelled",
+    + f" SELECT doc_id, block_idx, line_idx, span_idx, font_size, bold, top, spacing, label, {CLASS} FROM labelled",
 )
 def train_set_span(t: Tables):
-    return span_examples(t).select("doc_id", "line_idx", "span_idx", *tr.SPAN_FEATURES, "label", "class")
+    return span_examples(t).select("doc_id", "block_idx", "line_idx", "span_idx", *tr.SPAN_FEATURES, "label", "class")
 
 
 LINE_EXAMPLES = (

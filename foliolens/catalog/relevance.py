@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliolens.catalog.base import LINES, Tables, query, sql_strip
+from foliolens.catalog.base import CONFIGS, LINES, Tables, query, sql_strip
 from foliolens.catalog.layout import SPANS
 from foliolens.functions.vectors import normalised
 from foliolens.operators import lines as ln
@@ -15,32 +15,40 @@ from foliolens.operators.encoding import cosine_to
 from foliolens.plans import ranking_flow as flow
 
 
+# Words in a persona and job, and the query each group of them stands for.
+ROUTES = [
+    (["tour", "journey"], "routes, sights and places to stay on a journey"),
+    (["menu", "dish"], "dishes and what goes into them"),
+    (["form", "signature"], "filling in, signing and sending forms"),
+]
+
+
 def _route_case(persona: str, job: str) -> str:
     text = f"({persona} || ' ' || {job})"
     parts = []
-    for words, query_text in rv.ROUTES:
+    for words, query_text in ROUTES:
         hits = " OR ".join(f"contains(lower({text}), '{w}')" for w in words)
         parts.append(f"WHEN {hits} THEN '{query_text}'")
     return "CASE " + " ".join(parts) + f" ELSE {text} END"
 
 
+PERSONAS = ["Tour guide", "Menu planner", "Clerk of FORMS"]
+
+
 @query(
     "persona_route",
-    f"""SELECT doc_id, {_route_case('persona', 'job')} AS query
-        FROM (SELECT doc_id, split_part(text, chr(10), 1) AS job,
-                     CASE lang WHEN 'en' THEN 'Travel Planner' WHEN 'fr' THEN 'Food Contractor'
-                               WHEN 'de' THEN 'Acrobat trainer' ELSE lang END AS persona FROM documents)""",
+    f"""SELECT conv_id, turn, {_route_case('persona', 'job')} AS query
+        FROM (SELECT conv_id, turn, text AS job,
+                     CASE conv_id % 4 WHEN 0 THEN '{PERSONAS[0]}' WHEN 1 THEN '{PERSONAS[1]}' WHEN 2 THEN '{PERSONAS[2]}'
+                                      ELSE 'Reader' END AS persona
+              FROM conversations WHERE role = 'user')""",
 )
 def persona_route(t: Tables):
-    lang = F.col("lang")
-    persona = (
-        F.when(lang == "en", "Travel Planner")
-        .when(lang == "fr", "Food Contractor")
-        .when(lang == "de", "Acrobat trainer")
-        .otherwise(lang)
-    )
-    job = F.split_part("text", F.lit("\n"), F.lit(1))
-    return t.documents.select("doc_id", rv.route_query(persona, job).alias("query"))
+    """Queries of all user turns; a quarter of the conversations has no persona with a route."""
+    turns = t.read("conversations").where("role = 'user'")
+    kind = F.col("conv_id") % 4
+    persona = F.when(kind == 0, PERSONAS[0]).when(kind == 1, PERSONAS[1]).when(kind == 2, PERSONAS[2]).otherwise("Reader")
+    return turns.select("conv_id", "turn", rv.route_query(persona, F.col("text"), ROUTES).alias("query"))
 
 
 TERMS = (
@@ -66,11 +74,9 @@ lexical AS (
 
 SCORES = (
     TERMS
+    + ","
+    + CONFIGS
     + rf""",
-configs AS (
-  SELECT source AS collection, source AS persona, arg_min(split_part(text, chr(10), 1), doc_id) AS job
-  FROM documents GROUP BY source
-),
 query_tokens AS (
   SELECT collection, unnest(regexp_extract_all(lower(query), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term
   FROM (SELECT collection, {_route_case('persona', 'job')} AS query FROM configs)
@@ -136,7 +142,7 @@ def cosine_dense(t: Tables):
 
 
 def scores(t: Tables):
-    return rv.section_scores(t.sections, flow.queries_of(t.configs), ["collection"])
+    return rv.section_scores(t.sections, flow.queries_of(t.configs, ROUTES), ["collection"])
 
 
 @query("cosine_terms", "WITH " + SCORES + " SELECT doc_id, section_idx, round(cosine, 5) AS cosine FROM scored")
@@ -205,7 +211,7 @@ placed AS (
   FROM sentences s LEFT JOIN sentence_scores USING (doc_id, section_idx, nr)
 ),
 refined AS (
-  SELECT doc_id, section_idx, substr(string_agg(sentence, ' ' ORDER BY nr), 1, 800) AS refined_text
+  SELECT doc_id, section_idx, string_agg(sentence, ' ' ORDER BY nr) AS refined_text
   FROM placed WHERE place <= 3 GROUP BY ALL
 ),
 chosen AS (SELECT top.*, coalesce(refined_text, '') AS refined_text FROM top LEFT JOIN refined USING (doc_id, section_idx))"""
@@ -214,7 +220,7 @@ chosen AS (SELECT top.*, coalesce(refined_text, '') AS refined_text FROM top LEF
 
 @query("refine_text", "WITH " + REFINED + " SELECT doc_id, section_idx, importance_rank, refined_text FROM chosen")
 def refine_text(t: Tables):
-    return flow.best_sections(t.sections, t.configs).select("doc_id", "section_idx", "importance_rank", "refined_text")
+    return flow.best_sections(t.sections, t.configs, routes=ROUTES).select("doc_id", "section_idx", "importance_rank", "refined_text")
 
 
 # --- Font levels and slices -----------------------------------------------------------------------

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliolens.catalog.base import Tables, query, sql_strip
-from foliolens.catalog.relevance import REFINED
+from foliolens.catalog.base import CONFIGS, Tables, query, sql_strip
+from foliolens.catalog.relevance import REFINED, ROUTES
 from foliolens.operators import report as rp
-from foliolens.plans.chunks import chunk_of, numbered
 from foliolens.plans.lineage import cut, lookup_join, scratch
 from foliolens.plans.ranking_flow import collection_reports
 from foliolens.sources import cache, files
-from foliolens.sources.schemas import COLLECTION_SCHEMA
 
 TITLED = (
     REFINED
@@ -25,10 +23,23 @@ titled AS (
 )
 
 
+# Parts of the reports: ranges of document numbers.
+PARTS = f"""
+parts AS (
+  SELECT collection, d.part, c.persona, c.job, documents::INTEGER AS documents, coalesce(sections, 0)::INTEGER AS sections,
+         spanish::INTEGER AS spanish
+  FROM configs c
+  JOIN (SELECT source AS collection, (doc_id // {rp.DOCUMENTS_PER_PART})::INTEGER AS part, count(*) AS documents,
+               count(*) FILTER (lang = 'es') AS spanish FROM documents GROUP BY ALL) d USING (collection)
+  LEFT JOIN (SELECT collection, (doc_id // {rp.DOCUMENTS_PER_PART})::INTEGER AS part, count(*) AS sections FROM titled GROUP BY ALL) s
+    USING (collection, part)
+)"""
+
+
 def reports(t: Tables):
     name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document")
     documents = t.documents.select(F.col("source").alias("collection"), "doc_id", name)
-    return collection_reports(documents, t.sections, t.configs)
+    return collection_reports(documents, t.sections, t.configs, routes=ROUTES)
 
 
 @query(
@@ -54,10 +65,7 @@ def report_sections(t: Tables):
 @query(
     "report_json",
     "WITH " + TITLED
-    + """ SELECT collection, 0 AS part, c.persona, c.job, d.documents::INTEGER AS documents, coalesce(s.sections, 0)::INTEGER AS sections,
-                 1 AS stamped
-          FROM configs c JOIN (SELECT source AS collection, count(*) AS documents FROM documents GROUP BY source) d USING (collection)
-          LEFT JOIN (SELECT collection, count(*) AS sections FROM titled GROUP BY collection) s USING (collection)""",
+    + f""", {PARTS} SELECT collection, part, persona, job, documents, sections, 1 AS stamped FROM parts""",
 )
 def report_json(t: Tables):
     """What the JSON reports hold, but for the time stamp, of which only the form is looked at."""
@@ -86,61 +94,65 @@ RULES = [
 VIOLATIONS = {
     "sections.section_title present": "SELECT count(*) FROM titled WHERE section_title IS NULL",
     "analysis.refined_text present": "SELECT count(*) FROM titled WHERE refined_text IS NULL",
-    "sections not empty": "SELECT count(*) FROM configs WHERE collection NOT IN (SELECT collection FROM titled)",
-    "analysis not empty": "SELECT count(*) FROM configs WHERE collection NOT IN (SELECT collection FROM titled)",
-    "persona equal": "SELECT count(*) FROM configs WHERE collection LIKE '%7'",
-    "document count equal": "SELECT count(DISTINCT source) FROM documents WHERE lang = 'es'",
+    "sections not empty": "SELECT count(*) FROM parts WHERE sections = 0",
+    "analysis not empty": "SELECT count(*) FROM parts WHERE sections = 0",
+    "persona equal": "SELECT count(*) FROM parts WHERE collection LIKE '%7'",
+    "document count equal": "SELECT count(*) FROM parts WHERE spanish > 0",
 }
 
 
 @query(
     "validate_report",
-    "WITH " + TITLED + " "
+    "WITH " + TITLED + ", " + PARTS + " "
     + " UNION ALL ".join(f"SELECT '{r}' AS rule, ({VIOLATIONS.get(r, 'SELECT 0')})::BIGINT AS violations" for r in RULES),
 )
 def validate_report(t: Tables):
     parsed = cut(rp.parse_reports(rp.report_json(reports(t))))
-    counts = t.documents.groupBy(F.col("source").alias("collection")).agg(
+    counts = t.documents.groupBy(F.col("source").alias("collection"), rp.part_of("doc_id").alias("part")).agg(
         F.count_if(F.col("lang") != "es").alias("documents")
     )
     persona = F.when(F.col("collection").endswith("7"), F.upper("persona")).otherwise(F.col("persona"))
     truth = t.configs.join(counts, "collection").select(
-        "collection", F.lit(0).alias("part"), persona.alias("persona"), "job", "documents"
+        "collection", "part", persona.alias("persona"), "job", "documents"
     )
     return rp.validate(parsed, truth)
 
 
+PER_CONFIG = 100
+
+
 @query(
     "src_collection",
-    """SELECT collection, part, collection AS persona, CASE WHEN collection LIKE '%7' THEN '' ELSE job END AS job,
-              count(*)::INTEGER AS documents
-       FROM (SELECT source AS collection,
-                    ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100)::INTEGER AS part FROM documents)
-       JOIN (SELECT source AS collection, arg_min(split_part(text, chr(10), 1), doc_id) AS job FROM documents GROUP BY source)
-         USING (collection) GROUP BY collection, part, job""",
+    "WITH " + CONFIGS
+    + f""" SELECT collection, collection AS persona, CASE WHEN name LIKE '%7' THEN '' ELSE job END AS job, documents
+          FROM (SELECT source || '-' || doc_id // {PER_CONFIG} AS collection, source AS name, count(*)::INTEGER AS documents
+                FROM documents GROUP BY ALL) JOIN (SELECT collection AS name, job FROM configs) USING (name)""",
 )
 def src_collection(t: Tables):
-    """Configs of up to 100 documents stored as JSON and read back; those of collections ending in 7 lack the job."""
+    """Configs of ranges of 100 document numbers, one file in a folder each, read back by the reader; those of collections ending in 7 lack the job.
+
+    The folder's name is the collection, so `partitionBy` writes the layout that the reader expects, but for the name before "=".
+    """
     folder = scratch(t.spark, "collections")
     name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
-    spaced = t.documents.select(F.col("source").alias("collection"), "doc_id", chunk_of("doc_id").alias("chunk"))
-    placed = numbered(spaced, ["collection"], "chunk", ["doc_id"], "place")
-    listed = placed.groupBy("collection", F.floor(F.col("place") / 100).cast("string").alias("part")).agg(
+    parted = t.documents.withColumn("part", F.floor(F.col("doc_id") / PER_CONFIG).cast("string"))
+    listed = parted.groupBy(F.col("source").alias("collection"), "part").agg(
         F.array_sort(F.collect_list(F.struct(name.alias("filename"), F.lit("").alias("title")))).alias("documents")
     )
     job = F.when(F.col("collection").endswith("7"), F.lit(None)).otherwise(F.struct(F.col("job").alias("task")))
-    lookup_join(listed, t.configs, ["collection"], "inner", salt="part").select(
-        F.struct(F.col("collection").alias("challenge_id"), F.col("part").alias("test_case_name")).alias("challenge_info"),
+    made = lookup_join(listed, t.configs, ["collection"], "inner", salt="part").select(
+        F.concat_ws("-", "collection", "part").alias("folder"),
         "documents",
-        F.struct(F.col("persona").alias("role")).alias("persona"),
+        F.struct(F.concat_ws("-", "collection", "part").alias("role")).alias("persona"),
         job.alias("job_to_be_done"),
-    ).write.json(folder)
-    back = t.spark.read.schema(COLLECTION_SCHEMA).json(folder)
-    return back.select(
-        F.col("challenge_info.challenge_id").alias("collection"),
-        F.col("challenge_info.test_case_name").cast("int").alias("part"),
-        *files.collection_columns(),
-    ).withColumn("documents", F.size("documents"))
+    )
+    # JSON over several lines, as such files are: one text row per file.
+    text = F.to_json(F.struct("documents", "persona", "job_to_be_done"), {"pretty": "true"})
+    made.select("folder", text.alias("value")).write.partitionBy("folder").text(folder)
+    back = files.read_collections(t.spark, folder, "part-*")
+    return back.withColumns({
+        "collection": F.regexp_replace("collection", "^folder=", ""), "documents": F.size("documents"),
+    })
 
 
 @query(

@@ -98,9 +98,11 @@ def with_page_context(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
 
     Adds spacing_before, spacing_after, page_mean, page_std (sample, 0 for a single line), page_bottom
     and page_last_text (text of the bottom-most line, the last of equals).  All rows of the page count.
+    Lines of blocks follow each other block by block; lines without blocks by their number on the page.
     """
     keys = ["doc_id", "page"]
-    near = Neighbours(keys, "_chunk", ["line_idx"], F.struct("line_top", "line_bottom"))
+    order = [c for c in ("block_idx", "line_idx") if c in lines.columns]
+    near = Neighbours(keys, "_chunk", order, F.struct("line_top", "line_bottom"))
     size = F.col("font_size")
     summaries = [
         *near.summaries,
@@ -110,7 +112,7 @@ def with_page_context(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
         F.min(size).alias("_low"),
         F.max(size).alias("_high"),
         F.max("line_bottom").alias("_bottom"),
-        F.max_by(F.struct("line_top", "line_idx", "text"), F.struct("line_top", "line_idx")).alias("_last"),
+        F.max_by(F.struct("line_top", *order, "text"), F.struct("line_top", *order)).alias("_last"),
     ]
 
     def combine(part, w):
@@ -135,7 +137,8 @@ def with_page_context(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
         std = F.when(varied, F.sqrt(spread / (F.col("page_lines") - 1))).otherwise(F.lit(0.0))
         return first.withColumn("page_std", std).drop("_n", "_mean", "_m2", "_uniform")
 
-    chunked = lines.withColumn("_chunk", chunk_of("line_idx", rows_per_chunk))
+    chunk = chunk_of("line_idx", rows_per_chunk)
+    chunked = lines.withColumn("_chunk", F.struct(*order[:-1], chunk.alias("lines")) if order[:-1] else chunk)
     joined = carry(chunked, keys, "_chunk", summaries, combine)
     before = F.col("line_top") - F.coalesce(near.previous()["line_bottom"], F.lit(0.0))
     after = F.coalesce(near.following()["line_top"] - F.col("line_bottom"), F.lit(0.0))
@@ -148,13 +151,12 @@ def with_page_context(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
 
 def with_span_features(spans: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Spans of at least three characters with size, bold, top and spacing to the previous kept span."""
-    keys, order = ["doc_id", "page"], ["line_idx", "span_idx"]
+    keys, order = ["doc_id", "page"], ["block_idx", "line_idx", "span_idx"]
     kept = (
         spans.withColumn("text", tx.strip("text"))
         .where(F.char_length("text") >= 3)
         .select(
             *keys,
-            "block_idx",
             *order,
             "text",
             F.bround("size", 1).alias("font_size"),
@@ -167,7 +169,7 @@ def with_span_features(spans: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -
     def combine(part, w):
         return part.select(*keys, "_chunk", *near.carried(w)).drop("_next_chunk")
 
-    chunked = kept.withColumn("_chunk", chunk_of("line_idx", rows_per_chunk))
+    chunked = kept.withColumn("_chunk", F.struct("block_idx", chunk_of("line_idx", rows_per_chunk).alias("lines")))
     joined = carry(chunked, keys, "_chunk", near.summaries, combine)
     gap = F.col("top") - F.coalesce(near.previous()["top"], F.lit(0.0))
     return joined.withColumn("spacing", F.bround(F.abs(gap), 1)).drop("_chunk", "_previous_chunk")

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.operators.candidates import BAND_POINTS
-from foliolens.plans.chunks import chunk_of, numbered
 from foliolens.plans.lineage import salted_join
 
-ENTRIES_PER_PART = 10_000
+PAGES_PER_PART = 1_000
 READING_ORDER = ["page", "line_top", "line_idx"]
 
 
@@ -26,7 +24,7 @@ def outline_rows(predicted: DataFrame, body: str = "BODY") -> DataFrame:
 def span_titles(spans: DataFrame, min_size: float = 15.0) -> DataFrame:
     """First bold span of the first page with at least `min_size` points per document, else "Untitled"."""
     fits = (F.col("page") == 0) & (F.col("font_size") >= min_size) & (F.col("bold") == 1)
-    first = F.min_by(F.when(fits, F.col("text")), F.when(fits, F.struct("line_idx", "span_idx")))
+    first = F.min_by(F.when(fits, F.col("text")), F.when(fits, F.struct("block_idx", "line_idx", "span_idx")))
     return spans.groupBy("doc_id").agg(F.coalesce(first, F.lit("Untitled")).alias("title"))
 
 
@@ -56,26 +54,27 @@ def first_title_prediction(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def outline_documents(
-    documents: DataFrame, titles: DataFrame, rows: DataFrame, per_part: int = ENTRIES_PER_PART
+    documents: DataFrame, titles: DataFrame, rows: DataFrame, per_part: int = PAGES_PER_PART, page_base: int = 0
 ) -> DataFrame:
-    """doc_id, part, title and outline[level, text, page], one row per document.
+    """doc_id, part, title and outline[level, text, page], one row per document and part that has headings.
 
-    A document of more than `per_part` headings goes on in further parts, so no task has to hold
-    the headings of a huge document in one array.
+    A part is a range of `per_part` pages, so that no task has to hold all headings of a huge document; every document
+    has part 0, and every part its title.  Pages are numbered from `page_base` in the outline.
     """
-    chunked = rows.withColumn("_chunk", F.struct("page", chunk_of("line_top", BAND_POINTS).alias("band")))
-    placed = numbered(chunked, ["doc_id"], "_chunk", ["line_top", "line_idx"], "pos")
-    entry = F.struct("pos", "level", "text", "page")
-    lists = placed.groupBy("doc_id", F.floor(F.col("pos") / per_part).cast("int").alias("part")).agg(
+    entry = F.struct(*READING_ORDER, "level", "text")
+    part = F.floor(F.col("page") / per_part).cast("int").alias("part")
+    lists = rows.groupBy("doc_id", part).agg(
         F.transform(
             F.array_sort(F.collect_list(entry)),
-            lambda e: F.struct(e["level"].alias("level"), e["text"].alias("text"), e["page"].alias("page")),
+            lambda e: F.struct(e["level"].alias("level"), e["text"].alias("text"), (e["page"] + page_base).alias("page")),
         ).alias("outline")
     )
     headed = documents.select("doc_id").join(titles, "doc_id", "left")
-    return headed.join(lists, "doc_id", "left").select(
+    first = headed.withColumn("part", F.lit(0))
+    later = lists.where("part > 0").select("doc_id", "part").join(headed, "doc_id").select(*first.columns)
+    return first.unionByName(later).join(lists, ["doc_id", "part"], "left").select(
         "doc_id",
-        F.coalesce("part", F.lit(0)).alias("part"),
+        "part",
         F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce("outline", F.array()).alias("outline"),
     )

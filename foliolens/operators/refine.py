@@ -9,8 +9,8 @@ from foliolens.functions.text import sentences, tokens
 from foliolens.operators.relevance import SCORE_DIGITS
 
 
-def refined_text(text: Column, terms: Column, keep: int = 3, max_chars: int = 800) -> Column:
-    """The `keep` sentences of highest mean term weight, in their own order, up to `max_chars`.
+def refined_text(text: Column, terms: Column, keep: int = 3, max_chars: int | None = None) -> Column:
+    """The `keep` sentences of highest mean term weight, in their own order; `max_chars` cuts the result, where that is wanted.
 
     `terms` maps the section's terms to their weights.  Equal means, at nine decimals, go by position.
     """
@@ -27,13 +27,10 @@ def refined_text(text: Column, terms: Column, keep: int = 3, max_chars: int = 80
         ),
     )
     best = F.transform(F.slice(F.array_sort(weighed), 1, keep), lambda s: F.struct(s["at"].alias("at"), s["sentence"].alias("sentence")))
-    return F.substring(F.array_join(F.transform(F.array_sort(best), lambda s: s["sentence"]), " "), 1, max_chars)
+    joined = F.array_join(F.transform(F.array_sort(best), lambda s: s["sentence"]), " ")
+    return F.substring(joined, 1, max_chars) if max_chars else joined
 
 
-def refine(chosen: DataFrame, keep: int = 3, max_chars: int = 800, trim: int | None = None) -> DataFrame:
-    """Adds refined_text to sections that carry their text and `terms`; each row is summarised by itself.
-
-    Whole texts are read; `trim` limits the characters looked at, where that is wanted.
-    """
-    text = F.substring("text", 1, trim) if trim else F.col("text")
-    return chosen.withColumn("refined_text", refined_text(text, F.col("terms"), keep, max_chars))
+def refine(chosen: DataFrame, keep: int = 3, max_chars: int | None = None) -> DataFrame:
+    """Adds refined_text to sections that carry their text and `terms`; each row is summarised by itself, from its whole text."""
+    return chosen.withColumn("refined_text", refined_text(F.col("text"), F.col("terms"), keep, max_chars))

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.plans.chunks import numbered
 from foliolens.plans.lineage import lookup_join
 from foliolens.sources.schemas import REPORT_SCHEMA
 
 DOCUMENTS_PER_PART = 5_000
-HASH_RANGES = 4096
+
+
+def part_of(doc_id: str | Column, per_part: int = DOCUMENTS_PER_PART) -> Column:
+    """Part of a document with a number: a range of doc_id, so it depends on nothing but the document."""
+    return F.floor(F.col(doc_id) / per_part if isinstance(doc_id, str) else doc_id / per_part).cast("int")
 
 
 def assemble(
@@ -19,14 +22,12 @@ def assemble(
     """One report per collection: metadata, ranked sections, and the refined texts of those that have one.
 
     `configs` is (collection, persona, job); `documents` is (collection, doc_id, document); `sections` is
-    (collection, doc_id, title, importance_rank, page, refined_text).  A collection of more than `per_part`
-    documents goes on in further parts, each a report of its own; documents are dealt to parts by hash ranges,
-    so a collection of any size is numbered by many tasks.
+    (collection, doc_id, title, importance_rank, page, refined_text).  The report of a collection comes in parts, each
+    over a range of `per_part` document numbers and a report of its own, at any size; documents without numbers
+    bring a `part` column, of which no value should have many more documents.
     """
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGES)).alias("_chunk")
-    spaced = documents.select("collection", "doc_id", "document", bucket)
-    placed = numbered(spaced, ["collection"], "_chunk", ["doc_id"], "_place")
-    parted = placed.withColumn("part", F.floor(F.col("_place") / per_part).cast("int")).drop("_chunk", "_place")
+    part = F.col("part").cast("int") if "part" in documents.columns else part_of("doc_id", per_part).alias("part")
+    parted = documents.select("collection", "doc_id", "document", part)
     listed = parted.join(sections.drop("collection"), "doc_id", "left")
     found = F.col("importance_rank").isNotNull()
     entry = F.struct("doc_id", "importance_rank", "document", "title", "page", "refined_text")
@@ -88,14 +89,6 @@ def validate(reports: DataFrame, truth: DataFrame) -> DataFrame:
 
     `truth` is (collection, part, persona, job, documents): the expected persona, job and document count.
     """
-    expected = truth.select(
-        "collection",
-        "part",
-        F.col("persona").alias("_persona"),
-        F.col("job").alias("_job"),
-        F.col("documents").alias("_documents"),
-    )
-    joined = reports.join(expected, ["collection", "part"], "left")
     failing: dict[str, Column] = {
         "metadata present": F.col("metadata").isNull().cast("int"),
         "sections present": F.col("extracted_sections").isNull().cast("int"),
@@ -110,13 +103,22 @@ def validate(reports: DataFrame, truth: DataFrame) -> DataFrame:
     failing |= {
         "sections not empty": (F.coalesce(F.size("extracted_sections"), F.lit(0)) <= 0).cast("int"),
         "analysis not empty": (F.coalesce(F.size("subsection_analysis"), F.lit(0)) <= 0).cast("int"),
-        "persona equal": (~F.col("metadata.persona").eqNullSafe(F.col("_persona"))).cast("int"),
-        "job equal": (~F.col("metadata.job_to_be_done").eqNullSafe(F.col("_job"))).cast("int"),
-        "document count equal": (
-            ~F.size("metadata.input_documents").eqNullSafe(F.col("_documents").cast("int"))
-        ).cast("int"),
     }
-    counts = joined.agg(*[F.sum(count).cast("long").alias(rule) for rule, count in failing.items()])
+    # Each report is reduced to its counts and three values before it meets what is expected.
+    reduced = reports.select(
+        "collection", "part", *[count.alias(rule) for rule, count in failing.items()],
+        F.col("metadata.persona").alias("_persona"), F.col("metadata.job_to_be_done").alias("_job"),
+        F.size("metadata.input_documents").alias("_documents"),
+    )
+    joined = reduced.join(truth.select("collection", "part", "persona", "job", "documents"), ["collection", "part"], "left")
+    equal = {
+        "persona equal": F.col("_persona").eqNullSafe(F.col("persona")),
+        "job equal": F.col("_job").eqNullSafe(F.col("job")),
+        "document count equal": F.col("_documents").eqNullSafe(F.col("documents").cast("int")),
+    }
+    sums = [F.sum(F.col(f"`{rule}`")).cast("long").alias(rule) for rule in failing]
+    counts = joined.agg(*sums, *[F.count_if(~same).alias(rule) for rule, same in equal.items()])
+    failing |= equal
     return counts.select(
         F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in failing])).alias("row")
     ).select("row.rule", F.coalesce("row.violations", F.lit(0)).cast("long").alias("violations"))

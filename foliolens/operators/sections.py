@@ -4,91 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.functions.text import clean_title
 from foliolens.plans.chunks import attach, chunk_of, running_sum
 
-SMALL_HISTOGRAM = 12
-MATRIX_HISTOGRAM = 512
 SSE_DIGITS = 6
 
 
-def _prefix(bins: Column, index: Column, field: str) -> Column:
-    return F.coalesce(F.get(bins, index - 1)[field], F.lit(0.0))
-
-
-def _spread(bins: Column, start: Column, end: Column) -> Column:
-    """Squared deviation from their mean of the blocks in bins [start, end)."""
-    total = _prefix(bins, end, "total") - _prefix(bins, start, "total")
-    count = _prefix(bins, end, "count") - _prefix(bins, start, "count")
-    return _prefix(bins, end, "squares") - _prefix(bins, start, "squares") - total * total / count
-
-
-def _best_cuts(bins: Column, size: Column) -> Column:
-    """The two bin borders that split a short histogram into three groups of least squared deviation."""
-    costs = F.transform(
-        F.sequence(F.lit(1), size - 2),
-        lambda first: F.transform(
-            F.sequence(first + 1, size - 1),
-            lambda second: F.struct(
-                F.round(
-                    _spread(bins, F.lit(0), first) + _spread(bins, first, second) + _spread(bins, second, size),
-                    SSE_DIGITS,
-                ).alias("cost"),
-                first.alias("first"),
-                second.alias("second"),
-            ),
-        ),
-    )
-    return F.array_min(F.flatten(costs))
-
+def _cuts(batches: Iterator) -> Iterator:
+    """The two borders that split each document's sizes into three groups of least squared deviation.
 
-def _long_histogram_cuts(batches: Iterator) -> Iterator:
-    """The same for longer histograms: all pairs of borders as one matrix or, for very long ones, by halving, as
-    the best first border only moves right with the end of the prefix."""
+    All pairs of borders are compared, one row of the matrix at a time, by their cost at six decimals; of equal
+    ones the first counts.  Sizes are taken from their mean, so that sums of squares lose no digits.
+    """
     import numpy as np
     import pandas as pd
 
-    def cuts(count, total, squares):
-        count, total, squares = (np.concatenate([[0.0], np.asarray(a)]) for a in (count, total, squares))
-        size = len(count) - 1
+    def cuts(points, counts):
+        points, counts = np.asarray(points, float), np.asarray(counts, float)
+        points = points - (points * counts).sum() / counts.sum()
+        count, total, squares = (np.append(0.0, np.cumsum(x)) for x in (counts, counts * points, counts * points * points))
+        size = len(counts)
 
         def spread(i, j):
             return squares[j] - squares[i] - (total[j] - total[i]) ** 2 / (count[j] - count[i])
 
-        if size <= MATRIX_HISTOGRAM:
-            first, second = np.arange(1, size - 1)[:, None], np.arange(2, size)[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                cost = spread(0, first) + spread(first, second) + spread(second, size)
-            cost = np.where(first < second, np.round(cost, SSE_DIGITS), np.inf)
-            at = np.unravel_index(int(np.argmin(cost)), cost.shape)
-            return int(first[at[0], 0]), int(second[0, at[1]])
-
-        best, border = np.full(size + 1, np.inf), np.zeros(size + 1, dtype=int)
-        stack = [(2, size - 1, 1, size - 2)]
-        while stack:
-            low, high, left, right = stack.pop()
-            if low > high:
-                continue
-            end = (low + high) // 2
-            starts = np.arange(left, min(end - 1, right) + 1)
-            cost = spread(0, starts) + spread(starts, end)
-            at = int(np.argmin(cost))
-            best[end], border[end] = cost[at], starts[at]
-            stack.append((low, end - 1, left, starts[at]))
-            stack.append((end + 1, high, starts[at], right))
         ends = np.arange(2, size)
-        second = int(ends[np.argmin(best[ends] + spread(ends, size))])
-        return int(border[second]), second
+        last, best = spread(ends, size), None
+        for first in range(1, size - 1):
+            cost = np.round(spread(0, first) + spread(first, ends[first - 1 :]) + last[first - 1 :], SSE_DIGITS)
+            at = int(cost.argmin())
+            if best is None or cost[at] < best[0]:
+                best = cost[at], first, first + 1 + at
+        return best[1:]
 
     for batch in batches:
         rows = []
-        for doc_id, points, count, total, squares in zip(
-            batch["doc_id"], batch["points"], batch["counts"], batch["totals"], batch["squares"]
-        ):
-            first, second = cuts(count, total, squares)
+        for doc_id, points, counts in zip(batch["doc_id"], batch["points"], batch["counts"]):
+            # With up to three sizes, each is a group.
+            first, second = cuts(points, counts) if len(points) > 3 else (max(len(points) - 2, 0), len(points) - 1)
             rows.append((doc_id, float(points[second]), float(points[first])))
         yield pd.DataFrame(rows, columns=["doc_id", "h1_from", "h2_from"])
 
@@ -97,48 +53,14 @@ def size_borders(blocks: DataFrame, digits: int = 2) -> DataFrame:
     """Per document the font sizes from which a block is H1 and H2: exact 1-D k-means, k = min(3, distinct sizes).
 
     Works on the histogram of sizes rounded to `digits`, never on blocks, so a document's row is bounded by
-    the range of font sizes.  Short histograms stay in the JVM; longer ones go through one
-    Arrow batch function.
+    the range of font sizes; one Arrow batch function splits all histograms.
     """
-    bins = blocks.groupBy("doc_id", F.round("font_size", digits).alias("points")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy("doc_id").orderBy("points").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefix = bins.select(
-        "doc_id",
-        "points",
-        F.sum(F.col("_n").cast("double")).over(upto).alias("count"),
-        F.sum(F.col("_n") * F.col("points")).over(upto).alias("total"),
-        F.sum(F.col("_n") * F.col("points") * F.col("points")).over(upto).alias("squares"),
-    )
-    histograms = prefix.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("points", "count", "total", "squares"))).alias("bins")
-    )
-    size = F.size("bins")
-    bins_column = F.col("bins")
-
-    def at(index: Column) -> Column:
-        return F.get(bins_column, index)["points"]
-
-    one_each = F.array(F.coalesce(at(size - 2), at(size - 1)), at(size - 1))
-    cut_points = F.array(at(F.col("cut.first")), at(F.col("cut.second")))
-    short = (
-        histograms.where(size <= SMALL_HISTOGRAM)
-        .withColumn("cut", F.when(size > 3, _best_cuts(bins_column, size)))
-        .withColumn("from", F.when(size > 3, cut_points).otherwise(one_each))
-        .select("doc_id", F.col("from")[1].alias("h1_from"), F.col("from")[0].alias("h2_from"))
-    )
+    bins = blocks.groupBy("doc_id", F.round("font_size", digits).alias("points")).agg(F.count(F.lit(1)).alias("n"))
+    histograms = bins.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("points", "n"))).alias("bins"))
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    long = (
-        histograms.where(size > SMALL_HISTOGRAM)
-        .select(
-            "doc_id",
-            F.col("bins.points").alias("points"),
-            F.col("bins.count").alias("counts"),
-            F.col("bins.total").alias("totals"),
-            F.col("bins.squares").alias("squares"),
-        )
-        .mapInPandas(_by_value(_long_histogram_cuts), f"doc_id {kind}, h1_from double, h2_from double")
+    return histograms.select("doc_id", F.col("bins.points").alias("points"), F.col("bins.n").alias("counts")).mapInPandas(
+        _by_value(_cuts), f"doc_id {kind}, h1_from double, h2_from double"
     )
-    return short.unionByName(long)
 
 
 def _by_value(function):

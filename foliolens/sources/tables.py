@@ -14,6 +14,7 @@ from foliolens.functions.text import strip
 from foliolens.plans.session import spread
 
 LINES_PER_PAGE = 10
+LINES_PER_BLOCK = 5
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,15 +54,15 @@ SPAN_PATTERN = "([^,.]+[,.]*|[,.]+)"
 
 
 def text_spans(documents: DataFrame) -> DataFrame:
-    """Spans of each line: pieces ending in punctuation, every second one in a bold face."""
+    """Spans of each line: pieces ending in punctuation, every second one in a bold face; lines are numbered inside blocks of five."""
     pieces = F.regexp_extract_all("text", F.lit(SPAN_PATTERN), F.lit(1))
     spans = text_lines(documents).select("*", F.posexplode(pieces).alias("span_idx", "span_text"))
     odd = F.col("span_idx") % 2 == 1
     return spans.select(
         "doc_id",
         "page",
-        F.floor(F.col("line_idx") / 5).cast("int").alias("block_idx"),
-        "line_idx",
+        F.floor(F.col("line_idx") / LINES_PER_BLOCK).cast("int").alias("block_idx"),
+        (F.col("line_idx") % LINES_PER_BLOCK).cast("int").alias("line_idx"),
         "span_idx",
         F.col("span_text").alias("text"),
         (F.col("font_size") - F.when(odd, 1.5).otherwise(0.0)).alias("size"),

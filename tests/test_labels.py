@@ -123,8 +123,11 @@ def test_first_title_prediction(rows):
 
 def test_span_title(rows):
     spans = rows(
-        "doc_id long, page int, line_idx int, span_idx int, text string, font_size double, bold int",
-        [(1, 0, 0, 0, "small", 14.9, 1), (1, 0, 1, 0, "Big", 15.0, 1), (1, 0, 2, 0, "Later", 30.0, 1), (2, 1, 0, 0, "P2", 20.0, 1)],
+        "doc_id long, page int, block_idx int, line_idx int, span_idx int, text string, font_size double, bold int",
+        [
+            (1, 0, 0, 0, 0, "small", 14.9, 1), (1, 0, 0, 1, 0, "Big", 15.0, 1), (1, 0, 1, 0, 0, "Later", 30.0, 1),
+            (2, 1, 0, 0, 0, "P2", 20.0, 1),
+        ],
     )
     assert {tuple(r) for r in ol.span_titles(spans).collect()} == {(1, "Big"), (2, "Untitled")}
 

@@ -156,6 +156,23 @@ def test_span_spacing_skips_short_spans(rows, chunk):
     assert [tuple(r) for r in got] == [(20.0, 1, 50.0, 50.0), (10.0, 0, 80.3, 30.3), (10.0, 0, 30.0, 30.0)]
 
 
+@pytest.mark.parametrize("chunk", [1, 4096])
+def test_reading_order_goes_block_by_block(rows, chunk):
+    spans = rows(
+        "doc_id long, page int, block_idx int, line_idx int, span_idx int, text string, size double, font string, "
+        "flags int, origin_x double, x0 double, y0 double, y1 double",
+        [
+            (1, 0, b, i, 0, f"text {b} {i}", 10.0, "A", 0, 20.0, 20.0, top, top + 12.0)
+            for b, i, top in [(1, 1, 320.0), (0, 0, 100.0), (1, 0, 300.0), (0, 1, 120.0)]
+        ],
+    )
+    got = ln.with_span_features(spans, chunk).orderBy("top").select("spacing").collect()
+    assert [r.spacing for r in got] == [100.0, 20.0, 180.0, 20.0]
+    lines = ln.with_page_context(ln.lines_from_spans(spans), chunk).orderBy("line_top").collect()
+    assert [(r.spacing_before, r.spacing_after) for r in lines] == [(100.0, 8.0), (8.0, 168.0), (168.0, 8.0), (8.0, 0.0)]
+    assert {r.page_last_text for r in lines} == {"text 1 1"}
+
+
 def test_empty_table(rows):
     empty = featured(rows, [])
     assert cd.candidates(empty).count() == 0

@@ -31,7 +31,7 @@ def test_report_shape(rows):
 
 def test_large_collections_go_on_in_parts(rows):
     made = rp.assemble(*parts(rows), per_part=1).collect()
-    assert sorted((r.collection, r.part) for r in made) == [("a", 0), ("a", 1), ("b", 0)]
+    assert sorted((r.collection, r.part) for r in made) == [("a", 1), ("a", 2), ("b", 3)]
     held = {tuple(r.metadata.input_documents): len(r.extracted_sections) for r in made}
     assert held == {("one",): 2, ("two",): 1, ("three",): 0}
 
