@@ -15,7 +15,7 @@ from foliolens.llm.repeats import anchors, candidates, read_places, union_spans
 from foliolens.llm.store import targets
 
 WINDOW = 13
-GRAM = 5
+GRAM = 7
 #: Fragments that one task holds before it sends them.
 HELD = 200_000
 EMPTY = hashlib.sha256(b"").digest()
