@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliolens.catalog.base import CONTEXT, FEATURES, LINES, MERGED, PREDICTED, TRUTH, Tables, query, sql_strip
@@ -10,9 +11,11 @@ from foliolens.operators import candidates as cd
 from foliolens.operators import labels as lb
 from foliolens.operators import lines as ln
 from foliolens.operators import outline as ol
+from foliolens.operators import training as tr
 from foliolens.plans import outline_flow as flow
 from foliolens.plans.lineage import cut, scratch
 from foliolens.sources import files, sinks
+from foliolens.sources.schemas import LINE_NAMES
 
 KEY = ["doc_id", "page", "line_idx", "text"]
 
@@ -79,8 +82,26 @@ def sink_candidates(t: Tables):
 RAW = ["doc_id", "line_idx", "page", "text", "font_size", "length", "num_words", "is_short", "line_top", "line_bottom"]
 
 
-@query("src_raw_lines", "WITH " + FEATURES + f" SELECT {', '.join(RAW)} FROM features")
+@query(
+    "src_raw_lines",
+    "WITH " + FEATURES + f""" SELECT doc_id::VARCHAR AS doc_id,
+    (row_number() OVER (PARTITION BY doc_id ORDER BY line_idx) - 1)::INTEGER AS place, {', '.join(RAW[2:])} FROM features""",
+)
 def src_raw_lines(t: Tables):
+    """Each document's lines as a JSON array over several lines in a folder of its own, read back by the reader of such files."""
+    folder = scratch(t.spark, "lines")
+    record = F.struct("line_idx", F.struct(*[n for n in LINE_NAMES if n in t.features.columns]).alias("r"))
+    made = t.features.groupBy("doc_id").agg(F.array_sort(F.collect_list(record)).alias("rs"))
+    text = F.to_json(F.transform("rs", lambda x: x["r"]), {"pretty": "true"}).alias("value")
+    made.select("doc_id", text).repartition("doc_id").write.partitionBy("doc_id").text(folder)
+    back = files.read_raw_lines(t.spark, folder, "part-*", by_folder=True)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_idx")) - 1
+    return back.select("doc_id", place.cast("int").alias("place"), *RAW[2:])
+
+
+@query("src_lines", "WITH " + FEATURES + f" SELECT {', '.join(RAW)} FROM features")
+def src_lines(t: Tables):
+    """Lines in the form of the line sink, many documents to a file."""
     folder = scratch(t.spark, "lines")
     sinks.write_lines(t.features, folder)
     return files.read_lines(t.spark, folder).select(*RAW)
@@ -267,24 +288,73 @@ def title_first_pred(t: Tables):
     return rest.select(*ROW).unionByName(head)
 
 
-@query(
-    "outline_docs",
-    "WITH "
-    + OUTLINE
-    + f""", parted AS (SELECT *, (page // {ol.PAGES_PER_PART})::INTEGER AS part FROM rest)
+def _flat(outlines):
+    entry = F.transform("outline", lambda e: F.concat_ws("|", e["level"], e["page"].cast("string"), e["text"]))
+    return outlines.select("doc_id", "part", "title", F.size("outline").alias("headings"), F.array_join(entry, "\n").alias("entries"))
+
+
+def _outlines_sql(titles: str, rows: str, order: str, page_base: int = 0) -> str:
+    """Outlines from relations of titles (doc_id, title) and heading rows."""
+    return f""", parted AS (SELECT *, (page // {ol.PAGES_PER_PART})::INTEGER AS part FROM {rows})
           SELECT d.doc_id, d.part, coalesce(p.title, '') AS title, coalesce(r.headings, 0)::INTEGER AS headings,
                  coalesce(r.entries, '') AS entries
           FROM (SELECT doc_id, 0::INTEGER AS part FROM documents UNION SELECT doc_id, part FROM parted) d
-          LEFT JOIN promoted p ON d.doc_id = p.doc_id
+          LEFT JOIN {titles} p ON d.doc_id = p.doc_id
           LEFT JOIN (SELECT doc_id, part, count(*) AS headings,
-                            string_agg(level || '|' || page || '|' || text, chr(10) ORDER BY page, line_top, line_idx) AS entries
-                     FROM parted GROUP BY ALL) r ON d.doc_id = r.doc_id AND d.part = r.part""",
-)
+                            string_agg(level || '|' || (page + {page_base}) || '|' || text, chr(10) ORDER BY {order}) AS entries
+                     FROM parted GROUP BY ALL) r ON d.doc_id = r.doc_id AND d.part = r.part"""
+
+
+@query("outline_docs", "WITH " + OUTLINE + _outlines_sql("promoted", "rest", "page, line_top, line_idx"))
 def outline_docs(t: Tables):
-    entry = F.transform("outline", lambda e: F.concat_ws("|", e["level"], e["page"].cast("string"), e["text"]))
-    return flow.outlines(t.documents, t.lines).select(
-        "doc_id", "part", "title", F.size("outline").alias("headings"), F.array_join(entry, "\n").alias("entries")
-    )
+    return _flat(flow.outlines(t.documents, t.lines))
+
+
+@query(
+    "outline_spans",
+    "WITH " + SPAN_FEATURES_SQL
+    + """,
+span_titles AS (
+  SELECT doc_id, coalesce(arg_min(text, (block_idx, line_idx, span_idx)) FILTER (WHERE page = 0 AND font_size >= 15 AND bold = 1), 'Untitled')
+         AS title FROM span_features GROUP BY doc_id
+),
+span_rows AS (
+  SELECT *, CASE WHEN font_size >= 20 THEN 'H1' WHEN font_size >= 15 THEN 'H2' ELSE 'H3' END AS level
+  FROM span_features WHERE font_size >= 13
+)"""
+    + _outlines_sql("span_titles", "span_rows", "page, block_idx, line_idx, span_idx", 1),
+)
+def outline_spans(t: Tables):
+    return _flat(flow.span_outlines(t.documents, t.spans))
+
+
+@query(
+    "outline_text_layout",
+    "WITH " + CONTEXT
+    + """,
+levelled AS (
+  SELECT *, CASE WHEN font_size >= 20 THEN 'Title' WHEN font_size >= 15 THEN 'H1' WHEN length <= 60 THEN 'H4' END AS level FROM context
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, level ORDER BY page, line_top, line_idx) AS n FROM levelled WHERE level IS NOT NULL
+),
+first_titles AS (SELECT doc_id, text AS title FROM placed WHERE level = 'Title' AND n = 1),
+others AS (SELECT * FROM placed WHERE NOT (level = 'Title' AND n = 1))"""
+    + _outlines_sql("first_titles", "others", "page, line_top, line_idx"),
+)
+def outline_text_layout(t: Tables):
+    """The flow of the text and layout model with a rule in its place."""
+    size = F.col("font_size")
+    rule = F.when(size >= 20, "Title").when(size >= 15, "H1").when(F.col("length") <= 60, "H4").otherwise("NotHeading")
+    return _flat(flow.titled_outlines(t.documents, t.lines, rule))
+
+
+@query("outline_model", "WITH " + OUTLINE + _outlines_sql("promoted", "rest", "page, line_top, line_idx"))
+def outline_model(t: Tables):
+    """The flow of a trained line model; a forest learns the size rule from the lines it is then applied to."""
+    rows = cd.candidates(t.all_features).withColumn("class", lb.class_of(ol.level_by_size()))
+    train = cut(rows.select("doc_id", "line_idx", *tr.LINE_FEATURES, "class"))
+    return _flat(flow.outlines(t.documents, t.lines, tr.fit(train, tr.LINE_FEATURES, tr.random_forest())))
 
 
 @query(

@@ -141,6 +141,36 @@ def cosine_dense(t: Tables):
     return vectors.select("vec_id", "label", F.round(cosine_to(asked), 5).alias("cosine"))
 
 
+@query(
+    "topk_dense",
+    "WITH " + TERMS + """,
+vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v, count(*) OVER () AS n FROM embeddings),
+dense AS (
+  SELECT l.doc_id, l.section_idx, lexical,
+         list_dot_product(e.v, q.v) / sqrt(list_dot_product(e.v, e.v)) / sqrt(list_dot_product(q.v, q.v)) AS cosine
+  FROM lexical l JOIN vectors e ON e.vec_id = (l.doc_id * 7 + l.section_idx) % e.n
+  JOIN vectors q ON q.vec_id = try_cast(substr(l.collection, 4) AS BIGINT)
+),
+ranked AS (
+  SELECT doc_id, section_idx, round(0.6::DOUBLE * cosine + 0.4::DOUBLE * lexical, 5) AS score,
+         row_number() OVER (PARTITION BY doc_id ORDER BY round(0.6::DOUBLE * cosine + 0.4::DOUBLE * lexical, 9) DESC, section_idx)::INTEGER
+         AS importance_rank
+  FROM dense
+)
+SELECT doc_id, section_idx, score, importance_rank FROM ranked WHERE importance_rank <= 5""",
+)
+def topk_dense(t: Tables):
+    """Top sections by dense cosine and lexical score; given vectors stand for those of an encoder, dealt to sections and collections by number."""
+    vectors = t.read("embeddings").select("vec_id", "embedding")
+    n = vectors.count()
+    number = ((F.col("doc_id") * 7 + F.col("section_idx")) % n).alias("vec_id")
+    sections = t.sections.select("*", number).join(vectors, "vec_id").drop("vec_id")
+    asked = t.configs.select("collection", "persona", "job", F.expr("try_cast(substring(collection, 4) AS bigint)").alias("vec_id"))
+    configs = asked.join(vectors.withColumnRenamed("embedding", "vector"), "vec_id")
+    scored = rv.section_scores(sections, flow.queries_of(configs), ["collection"])
+    return rv.top_sections(scored).select("doc_id", "section_idx", F.round("score", 5).alias("score"), "importance_rank")
+
+
 def scores(t: Tables):
     return rv.section_scores(t.sections, flow.queries_of(t.configs, ROUTES), ["collection"])
 

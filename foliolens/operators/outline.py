@@ -9,6 +9,7 @@ from foliolens.plans.lineage import salted_join
 
 PAGES_PER_PART = 1_000
 READING_ORDER = ["page", "line_top", "line_idx"]
+SPAN_ORDER = ["page", "block_idx", "line_idx", "span_idx"]
 
 
 def level_by_size(h1: float = 20.0, h2: float = 15.0, h3: float = 13.0) -> Column:
@@ -54,14 +55,19 @@ def first_title_prediction(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def outline_documents(
-    documents: DataFrame, titles: DataFrame, rows: DataFrame, per_part: int = PAGES_PER_PART, page_base: int = 0
+    documents: DataFrame,
+    titles: DataFrame,
+    rows: DataFrame,
+    per_part: int = PAGES_PER_PART,
+    page_base: int = 0,
+    order: list[str] = READING_ORDER,
 ) -> DataFrame:
     """doc_id, part, title and outline[level, text, page], one row per document and part that has headings.
 
     A part is a range of `per_part` pages, so that no task has to hold all headings of a huge document; every document
     has part 0, and every part its title.  Pages are numbered from `page_base` in the outline.
     """
-    entry = F.struct(*READING_ORDER, "level", "text")
+    entry = F.struct(*order, "level", "text")
     part = F.floor(F.col("page") / per_part).cast("int").alias("part")
     lists = rows.groupBy("doc_id", part).agg(
         F.transform(

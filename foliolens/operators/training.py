@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, RegexTokenizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,18 +171,18 @@ def perceptron(inputs: int, classes: int = 4, rounds: int = 300, seed: int = 42)
     )
 
 
-def text_layout_classifier(train: DataFrame, buckets: int = 1 << 12, rounds: int = 50) -> PipelineModel:
-    """Hashed TF-IDF of the text next to the scaled layout columns, into a multinomial classifier."""
+def text_layout_classifier(train: DataFrame, vocabulary: int = 1 << 18, rounds: int = 50) -> PipelineModel:
+    """TF-IDF of the words of the text (the most frequent `vocabulary`) next to the scaled layout columns, into a multinomial classifier."""
     rows = filled(train, LAYOUT_FEATURES).withColumn("class", F.col("class").cast("double"))
     layout = vector_stages(rows, LAYOUT_FEATURES, scale=True)
     layout[-1].setOutputCol("layout")
     stages = [
         RegexTokenizer(inputCol="text", outputCol="words", pattern="[^\\p{L}\\p{N}_]+", minTokenLength=1),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets),
+        CountVectorizer(inputCol="words", outputCol="counts", vocabSize=vocabulary),
         IDF(inputCol="counts", outputCol="text_vector"),
         *layout,
         VectorAssembler(inputCols=["text_vector", "layout"], outputCol="features"),
-        LogisticRegression(labelCol="class", featuresCol="features", maxIter=rounds, regParam=1e-3),
+        LogisticRegression(labelCol="class", featuresCol="features", maxIter=rounds, regParam=1e-2, standardization=False),
     ]
     return Pipeline(stages=stages).fit(rows)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 << 20
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="foliolens-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -36,8 +37,19 @@ def cut(table: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for a table written and read back."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder for a table written and read back; `drop_scratch` deletes them all."""
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the tables written by `scratch` in this process, once nothing reads them any more; gives their number."""
+    found = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        found += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return found
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, bytes_: int = BROADCAST_BYTES) -> bool:

@@ -65,19 +65,24 @@ def outline_entries(labels: DataFrame) -> DataFrame:
     )
 
 
-def read_raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+def read_raw_lines(spark: SparkSession, folder: str, pattern: str = "*_raw.json", by_folder: bool = False) -> DataFrame:
     """Line records of the `*_raw.json` files of a folder, each a JSON array; absent numbers stay null.
 
+    The file's name gives doc_id or, with `by_folder`, the name of the folder of each document, as a partitioned writer makes it.
+
     Reading order inside a file becomes line_idx: one file is one task's input, so its rows
     come in file order with growing ids.
     """
     rows = (
         spark.read.schema(LINE_SCHEMA)
         .option("multiLine", True)
-        .option("pathGlobFilter", "*_raw.json")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", by_folder)
         .json(folder)
-        .withColumn("doc_id", base_name(F.col("_metadata.file_path"), "_raw\\.json"))
     )
+    path = F.col("_metadata.file_path")
+    named = F.regexp_extract(path, "([^/=]*)/[^/]*$", 1) if by_folder else base_name(path, "_raw\\.json")
+    rows = rows.withColumn("doc_id", named)
     return rows.withColumn("line_idx", F.monotonically_increasing_id())
 
 

@@ -10,7 +10,8 @@ from tests.conftest import FOLDER
 from tools.compare import compare, connect
 
 SQL = catalog.SQL
-TRAINED = ["train_rf", "train_gbt", "train_mlp", "train_text_layout", "score_lines"]
+# Hundreds of rounds of boosting: compared by tools/compare.py, not here.
+SLOW = {"train_gbt", "train_xgb_span"}
 
 
 @pytest.fixture(scope="module")
@@ -18,13 +19,13 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(set(SQL) - SLOW))
 def test_equals_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, FOLDER), con, SQL[name]) == ""
 
 
-def test_every_query_has_sql_or_trains_a_model():
-    assert set(catalog.QUERIES) - set(SQL) == set(TRAINED)
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(SQL)
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
@@ -32,18 +33,3 @@ def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0
     assert "text" in frame.columns
-
-
-@pytest.mark.parametrize("name", ["train_rf", "train_text_layout"])
-def test_trained_models_report_every_class(spark, name):
-    report = {r["class"]: r for r in entry.queries()[name](spark, FOLDER).collect()}
-    assert {"accuracy", "macro avg", "weighted avg"} <= set(report)
-    assert report["accuracy"]["f1"] > 0.5
-
-
-def test_scored_lines_cover_the_table(spark):
-    from foliolens.catalog.base import Tables
-
-    scored = entry.queries()["score_lines"](spark, FOLDER)
-    assert scored.count() == Tables(spark, FOLDER).features.count()
-    assert {r.level for r in scored.select("level").distinct().collect()} <= {"BODY", "H1", "H2", "H3"}
