@@ -96,24 +96,46 @@ def block_extract(t: Tables):
     return ln.blocks_from_spans(t.spans).withColumn("font_size", F.round("font_size", 4))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+NAMES = ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in tb.REFERENCES.items())
+POINT = "CASE WHEN code BETWEEN 1 AND 1114111 AND code NOT BETWEEN 55296 AND 57343 THEN chr(code) ELSE chr(65533) END"
+CODE = (
+    "CASE WHEN lower(m) LIKE '&#x%' THEN try_cast('0x' || substr(m, 4, length(m) - 4) AS INTEGER)"
+    " WHEN m LIKE '&#%' THEN try_cast(substr(m, 3, length(m) - 3) AS INTEGER) END"
+)
+
 BLOCKS = rf"""
+names AS (SELECT MAP {{{NAMES}}} AS named),
 visible AS (
   SELECT page_id, '<body>' || regexp_replace(html, '{tb.HIDDEN_MARKUP}', '', 'g') AS html FROM pages
 ),
 runs AS (
-  SELECT page_id AS doc_id,
-         list_filter(list_transform(regexp_extract_all(html, '<[^>]*>[^<]*'), lambda r: struct_pack(
-           tag := lower(regexp_extract(r, '^<(/?[a-zA-Z0-9]*)', 1)),
-           text := {sql_strip("replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(r, '^<[^>]*>', ''), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')")}
-         )), lambda r: r.text <> '') AS rs
-  FROM visible
+  SELECT page_id AS doc_id, unnest(rs) AS r, generate_subscripts(rs, 1) AS i
+  FROM (SELECT page_id, regexp_extract_all(html, {_quoted(tb.RUN_PATTERN)}) AS rs FROM visible)
+),
+cut AS (
+  SELECT doc_id, i, lower(regexp_extract(r, '^<(/?[a-zA-Z0-9]*)', 1)) AS tag, regexp_replace(r, {_quoted("^" + tb.TAG_PATTERN)}, '') AS raw
+  FROM runs
+),
+marked AS (SELECT *, string_split_regex(raw, '{tb.REFERENCE}') AS ps, regexp_extract_all(raw, '{tb.REFERENCE}') AS ms FROM cut),
+parts AS (
+  SELECT doc_id, i, tag, k, ps[k] AS p, ms[k] AS m FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS k FROM marked)
+),
+coded AS (SELECT *, {CODE} AS code FROM parts),
+decoded AS (
+  SELECT doc_id, i, tag,
+         {sql_strip("string_agg(p || CASE WHEN m IS NULL THEN '' WHEN m LIKE '&#%' THEN " + POINT + " ELSE coalesce(map_extract(named, m)[1], m) END, '' ORDER BY k)")} AS text
+  FROM coded, names GROUP BY ALL
 ),
 page_blocks AS (
-  SELECT doc_id, block_idx, r.tag AS tag, r.text AS text,
-         (CASE r.tag WHEN 'h1' THEN 24 WHEN 'h2' THEN 18 WHEN 'h3' THEN 16 WHEN 'h4' THEN 14 WHEN 'b' THEN 12
+  SELECT doc_id, block_idx, tag, text,
+         (CASE tag WHEN 'h1' THEN 24 WHEN 'h2' THEN 18 WHEN 'h3' THEN 16 WHEN 'h4' THEN 14 WHEN 'b' THEN 12
                WHEN 'strong' THEN 12 WHEN 'li' THEN 10 WHEN 'a' THEN 10 ELSE 11 END)::DOUBLE AS font_size,
          72::DOUBLE AS x0, (720 - 14 * (block_idx % 40))::DOUBLE AS y0, (block_idx // 40 + 1)::INTEGER AS page
-  FROM (SELECT doc_id, unnest(rs) AS r, (generate_subscripts(rs, 1) - 1)::INTEGER AS block_idx FROM runs)
+  FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS block_idx FROM decoded WHERE text <> '')
 )"""
 
 

@@ -7,6 +7,9 @@ of the same columns.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,16 +82,30 @@ def text_spans(documents: DataFrame) -> DataFrame:
 TAG_SIZES = {"h1": 24.0, "h2": 18.0, "h3": 16.0, "h4": 14.0, "b": 12.0, "strong": 12.0, "li": 10.0, "a": 10.0}
 BODY_SIZE = 11.0
 HIDDEN_MARKUP = "(?is)<head[^>]*>.*?</head>|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-RUN_PATTERN = "(<[^>]*>[^<]*)"
-# Character references, decoded in this order.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
-            ("&middot;", "·"), ("&amp;", "&")]
+# A tag, with `>` allowed inside quoted values; where quotes do not close, up to the next `>`.
+TAG_PATTERN = "(?:<(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[^>]*>)"
+RUN_PATTERN = f"({TAG_PATTERN}[^<]*)"
+REFERENCE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+REFERENCES = {f"&{name}": text for name, text in html5.items() if name.endswith(";")}
 
 
 def _decode(text: Column) -> Column:
-    for name, character in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(character))
-    return text
+    """Text with named and numeric character references decoded once; unknown names stay, impossible numbers become U+FFFD."""
+    names = F.from_json(F.lit(json.dumps(REFERENCES)), "map<string,string>")
+
+    def one(reference: Column) -> Column:
+        base = F.when(F.lower(reference).startswith("&#x"), F.lit(16)).otherwise(F.lit(10))
+        digits = F.regexp_replace(reference, "^&#[xX]?|;$", "")
+        code = F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        point = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        numeric = F.when(F.coalesce(valid, F.lit(False)), point).otherwise(F.lit("\ufffd"))
+        return F.when(reference.startswith("&#"), numeric).otherwise(F.coalesce(names[reference], reference))
+
+    between = F.split(text, REFERENCE, -1)
+    decoded = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), one)
+    joined = F.array_join(F.zip_with(between, decoded, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def markup_blocks(pages: DataFrame) -> DataFrame:
@@ -103,7 +120,7 @@ def markup_blocks(pages: DataFrame) -> DataFrame:
         runs,
         lambda run: F.struct(
             F.lower(F.regexp_extract(run, "^<(/?[a-zA-Z0-9]*)", 1)).alias("tag"),
-            strip(_decode(F.regexp_replace(run, "^<[^>]*>", ""))).alias("text"),
+            strip(_decode(F.regexp_replace(run, f"^{TAG_PATTERN}", ""))).alias("text"),
         ),
     )
     kept = F.filter(parsed, lambda run: run["text"] != "")

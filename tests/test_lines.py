@@ -176,3 +176,16 @@ def test_reading_order_goes_block_by_block(rows, chunk):
 def test_empty_table(rows):
     empty = featured(rows, [])
     assert cd.candidates(empty).count() == 0
+
+
+def test_character_references_and_quoted_tags(rows):
+    import html
+
+    from foliolens.sources.tables import markup_blocks
+
+    texts = ["a &lt;b&gt; &amp;lt;", "&eacute;&#233;&#xE9;&#XE9;", "&nosuch; &amp &;", "&#128512;", "x&nbsp;y"]
+    page = "".join(f"<p title=\"a > b\">{t}</p>" for t in texts) + "<h1 class='>'>H</h1><a href=\"open>t</a>" + "<b>&#0;&#xD800;&#99999999999;</b>"
+    got = [(r.tag, r.text) for r in markup_blocks(rows("page_id long, html string", [(1, page)])).orderBy("block_idx").collect()]
+    plain = [html.unescape(t) for t in texts]
+    plain[2] = "&nosuch; &amp &;"  # without a semicolon, or a known name, it is text
+    assert got == [("p", t) for t in plain] + [("h1", "H"), ("a", "t"), ("b", "\ufffd" * 3)]
