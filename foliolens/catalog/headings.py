@@ -64,7 +64,8 @@ MERGED_COLUMNS = [
     + f" SELECT {', '.join(MERGED_COLUMNS)} FROM merged",
 )
 def merge_runs(t: Tables):
-    return cd.merge_runs(ln.with_page_context(t.features)).select(*MERGED_COLUMNS)
+    # The merge reads its input twice.
+    return cd.merge_runs(cut(ln.with_page_context(t.features))).select(*MERGED_COLUMNS)
 
 
 @query("candidates", "WITH " + MERGED + f" SELECT {', '.join(MERGED_COLUMNS)} FROM merged")

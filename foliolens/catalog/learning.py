@@ -20,9 +20,13 @@ def span_examples(t: Tables):
     return tr.span_training_set(ln.with_span_features(t.spans), t.labels)
 
 
-def line_examples(t: Tables, words: bool = True):
-    features = t.all_features if words else t.features
-    return tr.line_training_set(ln.with_page_context(features), t.labels)
+def line_examples(t: Tables):
+    return tr.line_training_set(ln.with_page_context(t.all_features), t.labels)
+
+
+def labelled_lines(t: Tables):
+    """The same lines without word classes and page context, for what needs their labels only."""
+    return tr.line_training_set(t.features, t.labels)
 
 
 @query(
@@ -79,7 +83,7 @@ SIMPLE_EXAMPLES = (
           UNION ALL SELECT 'skipped documents', count(*) FROM documents ANTI JOIN good USING (doc_id)""",
 )
 def train_counts(t: Tables):
-    return tr.training_counts(line_examples(t, words=False), t.documents, t.labels)
+    return tr.training_counts(labelled_lines(t), t.documents, t.labels)
 
 
 @query(
@@ -108,7 +112,7 @@ SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, roun
                    sum(f1 * support) / sum(support), sum(support) FROM scored)""",
 )
 def class_report(t: Tables):
-    predicted = line_examples(t, words=False).select("label", ol.level_by_size().alias("predicted"))
+    predicted = labelled_lines(t).select("label", ol.level_by_size().alias("predicted"))
     rows = tr.classification_report(predicted, "label", "predicted", [*lb.LEVELS, "H4"])
     return rows.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
@@ -144,7 +148,7 @@ def split_hash(t: Tables):
            FROM labelled WHERE label <> 'H4'""",
 )
 def split_strat(t: Tables):
-    rows = line_examples(t, words=False).select("doc_id", "line_idx", "label")
+    rows = labelled_lines(t).select("doc_id", "line_idx", "label")
     return tr.split_stratified(rows, ["doc_id", "line_idx"])
 
 

@@ -67,7 +67,7 @@ def _match(rows: DataFrame, entries: DataFrame, choose, page_base: int, lower: b
 
 
 def _unique(rows: DataFrame) -> str:
-    return "line_idx" if "line_idx" in rows.columns else "page"
+    return next(c for c in ("block_idx", "line_idx", "page") if c in rows.columns)
 
 
 def label_last(rows: DataFrame, entries: DataFrame, page_base: int = 0, default: str = "BODY") -> DataFrame:
@@ -83,10 +83,11 @@ def label_first(rows: DataFrame, entries: DataFrame, page_base: int = 0, default
 def label_title(lines: DataFrame, titles: DataFrame, entries: DataFrame) -> DataFrame:
     """Title where a word of the lower-cased title is part of the line, else the first matching heading, else NotHeading.
 
-    Title words reach the lines once per chunk of lines, so a document of any size is spread out.
+    Title words reach the lines once per chunk of lines, so a document of any size is spread out.  Several titles of
+    one document count together.
     """
     words = F.filter(F.split(F.lower(F.coalesce("title", F.lit(""))), f"[{SPACE_CLASS}]+"), lambda w: w != "")
-    per_document = titles.select("doc_id", F.array_distinct(words).alias("_words"))
+    per_document = titles.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(words))).alias("_words"))
     headed = _match(lines, entries, F.min_by, 0, True, "NotHeading").withColumn("_chunk", chunk_of("line_idx"))
     present = lines.select("doc_id", chunk_of("line_idx").alias("_chunk")).distinct()
     spread = present.join(per_document, "doc_id", "left")
