@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -33,8 +34,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into slices of few text bytes: (rows, text offsets from 0, text bytes).  Null texts count as empty."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES, most: int = CHUNK_ROWS
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut batches into slices of few text bytes and rows: (rows, text offsets from 0, text bytes).  Null texts count as empty."""
     for batch in batches:
         text = batch.column("text").fill_null("").cast(pa.large_binary())
         offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
@@ -42,7 +45,7 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
         first, rows = 0, len(text)
         while first < rows:
             last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-            last = min(rows, max(first + 1, last))
+            last = min(rows, first + most, max(first + 1, last))
             yield batch.slice(first, last - first), offsets[first : last + 1] - offsets[first], data[offsets[first] : offsets[last]]
             first = last
 

@@ -15,6 +15,8 @@ from foliolens.llm.kernels import chunks, lower
 from foliolens.llm.store import extended, fresh
 
 BUCKETS = 1 << 13
+#: Texts whose counts by bucket are held at a time.
+ROWS = 128
 #: Documents in the training sample, shared evenly by the languages.
 SAMPLE = 2000
 #: A decision is ambiguous where the second codeword's loss is within this share of the first's.
@@ -95,7 +97,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _featurise(batches):
-    for rows, offsets, data in chunks(batches):
+    for rows, offsets, data in chunks(batches, most=ROWS):
         x = features(offsets, data).astype(np.float16)
         yield pa.RecordBatch.from_arrays([rows.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
 
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
 def _predict(model, names: list[str], added: list[str]):
     def run(batches):
         languages, parts = model.value
-        for rows, offsets, data in chunks(batches):
+        for rows, offsets, data in chunks(batches, most=ROWS):
             lettered = [t is not None and any(map(str.isalpha, t)) for t in rows.column("text").to_pylist()]
             n = len(lettered)
             lang, score, unsure = np.full(n, None, object), np.zeros(n), np.ones(n, bool)

@@ -36,7 +36,7 @@ def _encoder(vocabulary: str | None):
     from tokenizers import Tokenizer
 
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    slow = Tokenizer.from_file(path)
+    slow = lru_cache(maxsize=1)(lambda: Tokenizer.from_file(path))  # large, and seldom needed
     with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -47,7 +47,7 @@ def _encoder(vocabulary: str | None):
                 return fast.encode_ordinary(text)
             except Exception:  # its regular expressions give up on some very long runs
                 pass
-        return slow.encode(text, add_special_tokens=False).ids
+        return slow().encode(text, add_special_tokens=False).ids
 
     return encode
 

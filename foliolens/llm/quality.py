@@ -23,6 +23,8 @@ ROUNDS = 20
 #: Share of the naive Bayes direction's mean weight that is mixed into the fitted weights.
 MIXED = 0.1
 THRESHOLD = 0.7
+#: Texts whose features are held at a time.
+ROWS = 512
 
 
 def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -153,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
 
 
 def _featurise(batches):
-    for rows, offsets, data in chunks(batches):
+    for rows, offsets, data in chunks(batches, most=ROWS):
         row, bucket = indicators(offsets, data)
         cut = np.searchsorted(row, np.arange(rows.num_rows + 1))
         x = [bucket[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])]
@@ -162,7 +164,7 @@ def _featurise(batches):
 
 def _score(model, names: list[str], added: str):
     def run(batches):
-        for rows, offsets, data in chunks(batches):
+        for rows, offsets, data in chunks(batches, most=ROWS):
             score = np.full(rows.num_rows, 0.5)
             if model.value is not None and rows.num_rows:
                 ratio, w, shift, a, b = model.value
