@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from foliolens.llm.jaccard import _table
 from foliolens.llm.kernels import chunks, gram_hashes, word_hashes, words
-from foliolens.llm.repeats import anchors, candidates, read_places, union_spans
+from foliolens.llm.repeats import anchors, candidates, expand, read_places, union_spans
 from foliolens.llm.store import targets
 
 WINDOW = 13
@@ -124,9 +124,10 @@ def _fragments(pieces: int):
 
         for batch in batches:
             out = []
-            for doc, text, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places"))):
-                tokens = text.encode().translate(_SPACES).split()
-                raw = np.frombuffer(text.encode(), np.uint8)
+            for doc, packed, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "places"))):
+                text = expand(packed)
+                tokens = text.translate(_SPACES).split()
+                raw = np.frombuffer(text, np.uint8)
                 starts, ends, _ = words(np.array([0, len(raw)]), raw)
                 keys = gram_hashes(word_hashes(raw, starts, ends), GRAM).view(np.int64)
                 for at, least, most in zip(*(c.tolist() for c in read_places(blob))):
@@ -187,10 +188,10 @@ CUT = "doc_id long, n_removed long, kept binary, kept_text string"
 def _cut(text_too: bool):
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "firsts", "lasts")]
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "packed", "firsts", "lasts")]
             out = ([], [], [], [])
-            for doc, text, firsts, lasts in zip(*columns):
-                tokens, kept, done = text.encode().translate(_SPACES).split(), [], 0
+            for doc, packed, firsts, lasts in zip(*columns):
+                tokens, kept, done = expand(packed).translate(_SPACES).split(), [], 0
                 for a, b in zip(*union_spans(np.array(firsts), np.array(lasts))):
                     kept += tokens[done:a]
                     done = b
@@ -223,7 +224,7 @@ def substring_dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     sent = cand.mapInArrow(_fragments(pieces), FRAGMENTS)
     matched = sent.repartition(pieces, "target").groupBy("target").applyInArrow(_remove, "doc_id long, first long, last long")
     spans = matched.groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    cut = cand.select("doc_id", "text").join(spans, "doc_id").mapInArrow(_cut(texts), CUT).withColumnsRenamed({"kept": "cut_kept"})
+    cut = cand.select("doc_id", "packed").join(spans, "doc_id").mapInArrow(_cut(texts), CUT).withColumnsRenamed({"kept": "cut_kept"})
     rows = documents.join(classes, "digest").join(cut, "doc_id", "left")
     copy = (F.col("doc_id") > F.col("rep")) & (F.col("n") >= WINDOW)
     removed = F.when(copy, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0)))

@@ -6,6 +6,7 @@ windows around anchors that occur again need to be compared at all.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -65,7 +66,7 @@ _SCAN = pa.schema([
 
 def _scan(pieces: int, measure: Callable, within: bool):
     def run(batches):
-        sender, seen, held = Sender(pieces, False), set(), []
+        sender, seen, held = Sender(pieces, True), set(), []
 
         def send():
             part = sender.part()
@@ -97,7 +98,8 @@ def _scan(pieces: int, measure: Callable, within: bool):
     return run
 
 
-_TYPES = (np.uint64, np.uint32, np.uint32, np.uint16, np.uint16)
+#: Of the key, the half that does not say the target: chance repeats only make a place a candidate for nothing.
+_TYPES = (np.uint32, np.uint32, np.uint32, np.uint16, np.uint16)
 
 
 def _again(within: bool):
@@ -151,13 +153,33 @@ def read_places(blob: bytes) -> list[np.ndarray]:
     return [c.astype(np.int64) for c in unpack(blob, np.uint32, np.uint16, np.uint16)]
 
 
+PACKED = "doc_id long, packed binary, _own binary"
+
+
+def _squeeze(batches):
+    """Texts compressed one by one, since whole texts move between tasks, with their digests."""
+    for batch in batches:
+        texts = [t.as_py() for t in batch.column("text").fill_null("").cast(pa.large_binary())]
+        packed = pa.array([squeeze(t) for t in texts], pa.binary())
+        own = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed, own], ["doc_id", "packed", "_own"])
+
+
+def squeeze(text: bytes) -> bytes:
+    return len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def expand(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def candidates(docs: DataFrame, measure: Callable, within: bool, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan all texts for anchors and find those that occur again.
 
     `measure(offsets, data)` gives, for a chunk of texts, sizes, digests, hashes of what is kept if nothing is removed, and `anchors`.
     Equal texts are one class, represented by the smallest doc_id; only representatives become candidates.
 
-    Returns (documents: doc_id, n, digest, kept), (classes: digest, rep, copies) and (candidates: doc_id, text, places).
+    Returns (documents: doc_id, n, digest, kept), (classes: digest, rep, copies) and (candidates: doc_id, packed text, places).
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = targets(docs)
@@ -173,7 +195,8 @@ def candidates(docs: DataFrame, measure: Callable, within: bool, name: str) -> t
     # Copies in several tasks have the same places; those of the representative's text count.
     held = places.join(documents.select("doc_id", "digest").distinct(), "doc_id").groupBy("digest").agg(F.max("places").alias("places"))
     chosen = held.join(classes, "digest").select(F.col("rep").alias("doc_id"), "places", F.col("digest").alias("_digest"))
-    picked = texts.join(chosen, "doc_id").filter(F.unhex(F.sha2("text", 256)) == F.col("_digest")).drop("_digest").dropDuplicates(["doc_id"])
+    squeezed = texts.filter("doc_id is not null").mapInArrow(_squeeze, PACKED)
+    picked = squeezed.join(chosen, "doc_id").filter("_own = _digest").select("doc_id", "packed", "places").dropDuplicates(["doc_id"])
     return documents, classes, stage(picked, f"{name}-candidates")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from foliolens.llm.jaccard import _table
 from foliolens.llm.kernels import prefix_hash, span_hash
-from foliolens.llm.repeats import anchors, candidates, read_places, union_spans
+from foliolens.llm.repeats import anchors, candidates, expand, read_places, union_spans
 from foliolens.llm.store import targets
 
 WINDOW = 400
@@ -161,8 +161,8 @@ def _runs(pieces: int):
             def settle(doc, at, least, most):
                 out.append({"target": doc % pieces, "doc_id": doc, "first": at - most, "last": at - least + WINDOW})
 
-            for doc, text, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places"))):
-                raw = text.encode()
+            for doc, packed, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "places"))):
+                raw = expand(packed)
                 at, least, most = read_places(blob)
                 keys = span_hash(prefix_hash(np.frombuffer(raw, np.uint8)), at, at + GRAM).astype(">u8").tobytes()
                 for i, (p, lo, hi) in enumerate(zip(at.tolist(), least.tolist(), most.tolist())):
@@ -246,8 +246,8 @@ def _cut(bytes_too: bool):
     def run(batches):
         for batch in batches:
             out = ([], [], [], [], [])
-            for doc, text, firsts, lasts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "firsts", "lasts"))):
-                raw = text.encode()
+            for doc, packed, firsts, lasts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "firsts", "lasts"))):
+                raw = expand(packed)
                 a, b = union_spans(np.array(firsts), np.array(lasts))
                 kept = b"".join(raw[x:y] for x, y in zip(np.append(0, b), np.append(a, len(raw))))
                 for column, value in zip(out, (doc, int((b - a).sum()), len(a), hashlib.sha256(kept).digest(), kept if bytes_too else None)):
@@ -276,7 +276,7 @@ def suffix_dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     sent = cand.mapInArrow(_runs(pieces), RUNS).repartition(pieces, "target")
     spans = sent.groupBy("target").applyInArrow(_merge, "doc_id long, first long, last long")
     spans = spans.groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    cut = cand.select("doc_id", "text").join(spans, "doc_id").mapInArrow(_cut(texts), CUT)
+    cut = cand.select("doc_id", "packed").join(spans, "doc_id").mapInArrow(_cut(texts), CUT)
     rows = documents.join(classes, "digest").join(cut, "doc_id", "left")
     copied = (F.col("copies") > 1) & (F.col("n") >= WINDOW)
     pick = lambda whole, some: F.when(copied, whole).otherwise(some)
