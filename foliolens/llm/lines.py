@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliolens.llm.store import fresh, stage
@@ -50,65 +51,90 @@ def _needed(size: str) -> str:
     return f"int(({size} * {PERCENT} + 99) div 100)"
 
 
-def similar_firsts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lines: doc_id, line_no, k1, k2) and (sets: k1, k2, doc_id, line_no of the first line with a similar set).
-
-    Lines with equal token sets are one set.  Each set is indexed under its rarest tokens, as many as leave too few for a similar set.
-    Candidates share such a token, have sizes that allow the similarity, and enough tokens from the shared one on; they are verified on
-    whole sets, which are read again for candidates only.
-    """
-    lines = _lines(docs)
-    classes = rarity(lines)
-    sets = lines.select("doc_id", "line_no", _ordered(F.col("line"), classes).alias("tokens"))
-    sized = sets.select(
+def _measured(docs: DataFrame, classes: Column) -> DataFrame:
+    """Each line's place, the key of its token set, its size, a parity bitmap, and its rarest tokens: as many as leave too few for a match."""
+    tokens = _lines(docs).select("doc_id", "line_no", _ordered(F.col("line"), classes).alias("tokens"))
+    return tokens.select(
         "doc_id", "line_no", F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(7), "tokens").alias("k2"),
-        F.size("tokens").alias("size"), F.expr(f"slice(tokens, 1, size(tokens) - {_needed('size(tokens)')} + 1)").alias("prefix"),
+        F.size("tokens").alias("size"), F.expr("aggregate(tokens, 0L, (seen, t) -> seen ^ shiftleft(1L, cast(t & 63 as int)))").alias("bits"),
+        F.expr(f"slice(tokens, 1, size(tokens) - {_needed('size(tokens)')} + 1)").alias("prefix"),
     )
-    measured = stage(sized, "lines")
-    first = F.min(F.struct("doc_id", "line_no", "size", "prefix")).alias("s")
-    distinct = measured.filter("size > 0").groupBy("k1", "k2").agg(first).select("k1", "k2", "s.*")
-    # Sets of fewer than four tokens are similar to none but themselves.
-    indexed = distinct.filter(f"{_needed('size')} < size or size * 100 >= {PERCENT} * (size + 1)")
-    postings = indexed.select("k1", "k2", "doc_id", "line_no", "size", F.posexplode("prefix").alias("at", "token")).drop("k2")
-    return measured, distinct, postings, classes
 
 
-def near_lines(docs: DataFrame) -> DataFrame:
-    """Every line of the documents with the place of the first line whose token set is similar to its own.
+_PLACE = ["doc_id", "line_no"]
+#: Earlier set a, later set b: sizes, the most tokens that can still be shared from the shared one on, and the bits in which bitmaps differ
+#: (at most as many as tokens) allow the similarity.
+_MAY_MATCH = f"""
+    (doc_id_a < doc_id_b or (doc_id_a = doc_id_b and line_no_a < line_no_b))
+    and least(size_a, size_b) * 100 >= greatest(size_a, size_b) * {PERCENT}
+    and (least(at_a, at_b) + least(size_a - at_a, size_b - at_b)) * {100 + PERCENT} >= {PERCENT} * (size_a + size_b)
+    and bit_count(bits_a ^ bits_b) * {PERCENT} <= least(size_a, size_b) * {100 - PERCENT}
+"""
 
-    Returns doc_id, line_no, first_doc_id, first_line_no (its own place, if there is no earlier one; null without tokens).
-    """
-    measured, distinct, postings, classes = similar_firsts(docs)
-    a = postings.select("token", *(F.col(c).alias(f"{c}_a") for c in ("k1", "doc_id", "line_no", "size", "at")))
-    b = postings.select("token", *(F.col(c).alias(f"{c}_b") for c in ("k1", "doc_id", "line_no", "size", "at")))
-    shared = f"int((({PERCENT} * (size_a + size_b)) + {100 + PERCENT - 1}) div {100 + PERCENT})"
-    pairs = (
-        a.join(b, "token")
-        .filter("(size_a < size_b or (size_a = size_b and k1_a < k1_b))")
-        .filter(f"size_a * 100 >= size_b * {PERCENT}")
-        .filter(f"1 + least(size_a - at_a - 1, size_b - at_b - 1) + least(at_a, at_b) >= {shared}")
-        .select("doc_id_a", "line_no_a", "doc_id_b", "line_no_b")
-        .distinct()
-    )
-    pairs = stage(pairs, "line-pairs")
-    place = lambda x: F.struct(F.col(f"doc_id_{x}").alias("doc_id"), F.col(f"line_no_{x}").alias("line_no"))
-    wanted = pairs.select(F.explode(F.array(place("a"), place("b"))).alias("p")).select("p.*").groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
+
+_ROW = [*_PLACE, "size", "bits", "at"]
+
+
+def _postings(sets: DataFrame) -> DataFrame:
+    return sets.select(*_PLACE, "size", "bits", F.posexplode("prefix").alias("at", "token"))
+
+
+def _side(rows: DataFrame, x: str) -> DataFrame:
+    return rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in _ROW))
+
+
+def _may_match(pairs: DataFrame, name: str) -> DataFrame:
+    """Distinct pairs of places of sets that share a rare token and may match."""
+    found = pairs.filter(_MAY_MATCH).select(*(f"{c}_{x}" for x in "ab" for c in _PLACE))
+    return stage(found.distinct(), name)
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, classes: Column, name: str) -> DataFrame:
+    """Places of later sets that match; whole sets are read again, for the lines of the pairs only."""
+    place = lambda x: F.struct(*(F.col(f"{c}_{x}").alias(c) for c in _PLACE))
+    ends = pairs.select(F.explode(F.array(place("a"), place("b"))).alias("p")).select("p.*")
+    wanted = ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
     again = texts.select("doc_id", "wanted", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter("array_contains(wanted, line_no)")
-    whole = stage(again.select("doc_id", "line_no", _ordered(F.col("line"), classes).alias("tokens")), "line-sets")
-    side = lambda x: whole.select(*(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "line_no", "tokens")))
+    whole = stage(again.select(*_PLACE, _ordered(F.col("line"), classes).alias("tokens")), f"{name}-sets")
+    side = lambda x: whole.select(*(F.col(c).alias(f"{c}_{x}") for c in (*_PLACE, "tokens")))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    similar = (
-        pairs.join(side("a"), ["doc_id_a", "line_no_a"]).join(side("b"), ["doc_id_b", "line_no_b"])
-        .filter(both * (100 + PERCENT) >= PERCENT * (F.size("tokens_a") + F.size("tokens_b")))
-        .select(place("a").alias("x"), place("b").alias("y"))
-    )
-    links = similar.select("x", "y").unionAll(similar.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    earliest = links.groupBy("x").agg(F.min("y").alias("y"))
-    firsts = distinct.select("k1", "k2", F.struct("doc_id", "line_no").alias("x")).join(earliest, "x", "left")
-    firsts = firsts.select("k1", "k2", F.least("x", F.coalesce("y", "x")).alias("f"))
+    joined = pairs.join(side("a"), ["doc_id_a", "line_no_a"]).join(side("b"), ["doc_id_b", "line_no_b"])
+    good = joined.filter(both * (100 + PERCENT) >= PERCENT * (F.size("tokens_a") + F.size("tokens_b")))
+    return stage(good.select(*(F.col(f"{c}_b").alias(c) for c in _PLACE)).distinct(), name)
+
+
+def marked_lines(docs: DataFrame) -> DataFrame:
+    """Every line of the documents with `gone`: whether an earlier line has a similar token set.
+
+    Lines with equal token sets are one set, at the place of the first; all others of them are gone.  Whether the first is gone too takes
+    one earlier set that matches.  Sets are indexed under their rarest tokens.  Those that share a token are first compared
+    with the earliest of them, which settles groups of near copies without their pairs; sets not gone yet are then compared with
+    all earlier ones that share a token and pass the length, positional and bitmap filters.
+    """
+    classes = rarity(_lines(docs))
+    measured = stage(_measured(docs, classes), "lines")
+    first = F.min(F.struct(*_PLACE, "size", "bits", "prefix")).alias("s")
+    sets = measured.filter("size > 0 and doc_id is not null").groupBy("k1", "k2").agg(first).select("k1", "k2", "s.*")
+    # A set of fewer than four tokens is similar to none but itself.
+    indexed = sets.filter("size >= 4")
+    pivot = F.first(F.struct(*_PLACE, "size", "bits", "at")).over(W.partitionBy("token").orderBy(*_PLACE))
+    first_of = _postings(indexed).withColumn("pivot", pivot)
+    stars = first_of.select(
+        *(F.col(f"pivot.{c}").alias(f"{c}_a") for c in _ROW), *(F.col(c).alias(f"{c}_b") for c in _ROW)
+    )
+    settled = _verified(docs, _may_match(stars, "line-stars"), classes, "settled")
+    # What is left is cut before its postings are made, so that only sets are shuffled for it.
+    open_ = indexed.join(settled, _PLACE, "left_anti")
+    rest = _side(_postings(indexed), "a").join(_side(_postings(open_), "b"), "token")
+    more = _verified(docs, _may_match(rest, "line-pairs"), classes, "settled-later")
+    gone = settled.unionByName(more).withColumn("gone", F.lit(True))
+    firsts = sets.select("k1", "k2", *_PLACE).join(gone, _PLACE, "left").select(
+        "k1", "k2", F.col("doc_id").alias("_doc"), F.col("line_no").alias("_line"), F.coalesce("gone", F.lit(False)).alias("gone")
+    )
+    own = F.expr("doc_id = _doc and line_no = _line")
     return measured.join(firsts, ["k1", "k2"], "left").select(
-        "doc_id", "line_no", F.col("f.doc_id").alias("first_doc_id"), F.col("f.line_no").alias("first_line_no")
+        *_PLACE, F.when(F.col("gone").isNull() | F.col("doc_id").isNull(), False).when(own, F.col("gone")).otherwise(True).alias("gone")
     )
 
 
@@ -118,13 +144,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     Lines are what newlines part; tokens are maximal runs of [^\\x20\\x09-\\x0D], compared by a 57-bit hash within a pair of lines.  Earlier
     means smaller (doc_id, line_no); removed lines count as earlier ones too.  Lines without tokens are never removed.
     Returns a row per document: doc_id, n_lines, n_removed, removed (line numbers from 0, ascending).  Null and empty texts have one empty
-    line.  Rows of one doc_id are one document of which lines of one number are equal places; a null doc_id is earlier than any other.
+    line.  Rows of one doc_id are one document of which lines of one number are equal places; rows without doc_id neither remove nor lose lines.
     An empty table gives no rows; other columns are ignored.
     """
-    near = near_lines(docs)
-    gone = F.expr("first_doc_id is distinct from doc_id or first_line_no < line_no") & F.col("first_line_no").isNotNull()
-    marked = near.select("doc_id", "line_no", gone.alias("gone"))
-    return marked.groupBy("doc_id").agg(
+    return marked_lines(docs).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("gone").alias("n_removed"),
         F.sort_array(F.collect_list(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),
     )
