@@ -336,7 +336,8 @@ def _near(every: bool):
 
     def run(table: pa.Table) -> pa.Table:
         doc, role, place, n = (table.column(c).to_numpy() for c in ("doc", "role", "component", "n"))
-        bits = np.array(table.column("bits").to_pylist(), np.int64).reshape(len(doc), BITMAP)
+        # Unsigned: of a negative number, bitwise_count would count the bits of its absolute value.
+        bits = np.array(table.column("bits").to_pylist(), np.int64).reshape(len(doc), BITMAP).view(np.uint64)
         a, b = [], []
         for i in range(len(doc)):
             apart = np.bitwise_count(bits ^ bits[i]).sum(axis=1)

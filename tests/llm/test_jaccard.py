@@ -111,6 +111,33 @@ def test_crowded_group_of_near_copies_and_a_common_passage(rows):
     assert got(jaccard.jaccard_components(rows("doc_id long, text string", docs))) == brute(docs)
 
 
+def test_nearest_and_all_pairs_across_components():
+    """Bitmaps are compared as bits, whatever the sign of their longs."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(5)
+    base = np.unique(draw.integers(0, 2**63, 60).astype(np.uint64))
+    sets = []
+    for _ in range(40):
+        new = draw.integers(0, 2**63, int(draw.integers(0, 12))).astype(np.uint64)
+        sets.append(np.unique(np.append(draw.permutation(base)[: 60 - len(new) // 2], new)))
+    place = draw.integers(0, 5, 40)
+    table = pa.table({
+        "doc": np.arange(40), "role": np.full(40, 3, np.int32), "component": place, "n": [len(s) for s in sets],
+        "bits": pa.array([jaccard.parity(s) for s in sets], pa.list_(pa.int64())),
+    })
+
+    def similar(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    want = {(i, j) for i in range(40) for j in range(i + 1, 40) if place[i] != place[j] and similar(i, j)}
+    every, near = (set(zip(*(jaccard._near(e)(table).column(c).to_pylist() for c in "ab"))) for e in (True, False))
+    assert want <= every and len(want) > 50
+    assert near <= every and len(near) <= 40
+    assert {i for p in near for i in p} == {i for p in every for i in p}
+
+
 def test_odd_tables(rows):
     assert jaccard.jaccard_components(rows("doc_id long, text string", [])).collect() == []
     assert got(jaccard.jaccard_components(rows("doc_id long, text string", [(4, None)]))) == [(4, 0, 4)]
