@@ -16,7 +16,7 @@ from foliolens.llm.store import targets
 
 WINDOW = 13
 GRAM = 7
-#: Fragments that one task holds before it sends them.
+#: Fragments and windows that one task holds before it sends them.
 HELD = 200_000
 EMPTY = hashlib.sha256(b"").digest()
 
@@ -106,20 +106,54 @@ _FRAGMENTS = pa.schema([
 
 
 def _fragments(pieces: int):
-    """Windows around each place as one fragment; fragments met before in the task are settled, others go to the shard of their anchor."""
+    """Windows around each place as one fragment; fragments met before in the task are settled, others go to the shard of their anchor.
+
+    Around a hot anchor each window goes by its own digest, in the smallest document of the task that has it; in others it is settled.
+    """
 
     def run(batches):
         held: dict[tuple[int, bytes], tuple[int, int]] = {}
+        whole: dict[bytes, int] = {}
+        windows: dict[bytes, tuple[int, list[int]]] = {}
 
         def settle(doc, first, text):
-            return {"target": doc % pieces, "doc_id": doc, "first": first, "last": first + text.count(b" ") + 1}
+            return span(doc, first, first + text.count(b" ") + 1)
+
+        def span(doc, first, last):
+            return {"target": doc % pieces, "doc_id": doc, "first": first, "last": last}
+
+        def apart(doc, tokens, first, end, out):
+            text = b" ".join(tokens[first:end])
+            met = whole.get(text)
+            if met is not None and met < doc:
+                out.append(settle(doc, first, text))
+                return
+            whole[text] = doc
+            for at in range(first, end - WINDOW + 1):
+                name = hashlib.sha256(b" ".join(tokens[at : at + WINDOW])).digest()
+                met = windows.get(name)
+                if met is None:
+                    windows[name] = doc, [at]
+                elif doc == met[0]:
+                    met[1].append(at)
+                elif doc > met[0]:
+                    out.append(span(doc, at, at + WINDOW))
+                else:
+                    out.extend(span(met[0], x, x + WINDOW) for x in met[1])
+                    windows[name] = doc, [at]
 
         def send():
             rows = [
                 {"target": (k >> 20) % pieces, "key": k, "doc_id": doc, "first": first, "text": text}
                 for (k, text), (doc, first) in held.items()
             ]
+            rows += [
+                {"target": int.from_bytes(name[:4], "big") % pieces, "doc_id": doc, "first": at, "text": name}
+                for name, (doc, places) in windows.items() for at in places
+            ]
             held.clear()
+            whole.clear()
+            windows.clear()
             return _table(_FRAGMENTS, rows)
 
         for batch in batches:
@@ -130,8 +164,11 @@ def _fragments(pieces: int):
                 raw = np.frombuffer(text, np.uint8)
                 starts, ends, _ = words(np.array([0, len(raw)]), raw)
                 keys = gram_hashes(word_hashes(raw, starts, ends), GRAM).view(np.int64)
-                for at, least, most in zip(*(c.tolist() for c in read_places(blob))):
+                for at, least, most, hot in zip(*(c.tolist() for c in read_places(blob))):
                     first, end = at - most, at - least + WINDOW
+                    if hot:
+                        apart(doc, tokens, first, end, out)
+                        continue
                     name = int(keys[at]), b" ".join(tokens[first:end])
                     met = held.get(name)
                     if met is None or doc < met[0]:
@@ -143,7 +180,7 @@ def _fragments(pieces: int):
                     else:  # the same document again: its fate is that of its first occurrence, so it goes along
                         out.append({"target": (name[0] >> 20) % pieces, "key": name[0], "doc_id": doc, "first": first, "text": name[1]})
             yield _table(_FRAGMENTS, out)
-            if len(held) >= HELD:
+            if len(held) + len(whole) + len(windows) >= HELD:
                 yield send()
         yield send()
 
@@ -157,11 +194,18 @@ def _remove(table: pa.Table) -> pa.Table:
     """Spans of words to remove in the fragments of one shard."""
     docs, firsts, spans = table.column("doc_id").to_pylist(), table.column("first").to_pylist(), []
     groups: dict[int, dict[bytes, list[int]]] = {}
+    windows: dict[bytes, list[int]] = {}
     for i, (key, text, last) in enumerate(zip(*(table.column(c).to_pylist() for c in ("key", "text", "last")))):
         if text is None:  # settled before
             spans.append((docs[i], firsts[i], last))
             continue
+        if key is None:  # a window of a hot anchor, by its digest
+            windows.setdefault(text, []).append(i)
+            continue
         groups.setdefault(key, {}).setdefault(text, []).append(i)
+    for rows in windows.values():
+        least = min(docs[i] for i in rows)
+        spans += [(docs[i], firsts[i], firsts[i] + WINDOW) for i in rows if docs[i] > least]
     for texts in groups.values():
         least = {t: min(docs[i] for i in rows) for t, rows in texts.items()}
         shard = None
@@ -212,6 +256,7 @@ def substring_dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     reference shard of their anchor, so that every window meets all windows it can equal and no shard has to visit every task.
     A shard builds a suffix automaton over each group's distinct fragments whose states know the smallest document, and streams the fragments
     through it: where the matching statistic reaches 13 words, the state of those 13 words tells whether a smaller document has them.
+    Windows around an anchor of more than 2,000 places are dealt by their own digests instead, one per task for each, so that no shard holds them all.
     Words are compared as bytes.
 
     Words are maximal runs of [^\\x20\\x09-\\x0D].  Returns a row per input row: doc_id, n_words, n_removed, kept_sha256, and with `texts`

@@ -22,6 +22,9 @@ _PIECE = 1 << 20
 _LOW = np.uint64((1 << 22) - 1)
 #: Anchors that one task holds before it sends them.
 HELD = 1_000_000
+#: Places of one anchor beyond which its windows are dealt one by one, so that no task holds all of them.
+HOT = 2_000
+_HOT = np.uint16(1 << 15)
 
 
 def sliding_argmin(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -102,8 +105,8 @@ def _scan(pieces: int, measure: Callable, within: bool):
 _TYPES = (np.uint32, np.uint32, np.uint32, np.uint16, np.uint16)
 
 
-def _again(within: bool):
-    """Anchors of one target whose key occurs again (in another document, unless `within`)."""
+def _again(within: bool, hot: int):
+    """Anchors of one target whose key occurs again (in another document, unless `within`), those of more than `hot` places marked."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpack(b, *_TYPES) for b in table.column("blob").to_pylist()]
@@ -111,18 +114,20 @@ def _again(within: bool):
         owner = np.concatenate([p[1].astype(np.int64) + (i << 32) for i, p in enumerate(parts)])
         order = np.argsort(key, kind="stable")
         equal = np.diff(key[order]) == 0
-        again = np.zeros(len(key), bool)
+        again, mark = np.zeros(len(key), bool), np.zeros(len(key), np.uint16)
+        begin = np.flatnonzero(np.append(True, ~equal)) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(begin, len(key)))
+        mark[order] = np.repeat(np.where(size > hot, _HOT, np.uint16(0)), size)
         if within:
             again[order] = np.append(equal, False) | np.append(False, equal)
         else:
-            begin = np.flatnonzero(np.append(True, ~equal))
-            size = np.diff(np.append(begin, len(key)))
             several = np.minimum.reduceat(owner[order], begin) != np.maximum.reduceat(owner[order], begin)
             again[order] = np.repeat(several, size)
         at, blobs = 0, []
         for p in parts:
             use = again[at : at + len(p[0])]
-            blobs.append(pack(*(c[use] for c in (p[1].astype(np.int64), *p[2:]))))
+            most = p[4] | mark[at : at + len(p[0])]
+            blobs.append(pack(*(c[use] for c in (p[1].astype(np.int64), p[2], p[3], most))))
             at += len(p[0])
         return pa.table({"part": table.column("part"), "blob": pa.array(blobs, pa.binary())})
 
@@ -150,7 +155,9 @@ def _places(table: pa.Table) -> pa.Table:
 
 
 def read_places(blob: bytes) -> list[np.ndarray]:
-    return [c.astype(np.int64) for c in unpack(blob, np.uint32, np.uint16, np.uint16)]
+    """Places of the anchors, least and most units of a window before each, and whether the anchor is hot."""
+    at, least, most = unpack(blob, np.uint32, np.uint16, np.uint16)
+    return [*(c.astype(np.int64) for c in (at, least, most & ~_HOT)), most >= _HOT]
 
 
 PACKED = "doc_id long, packed binary, _own binary"
@@ -173,7 +180,7 @@ def expand(packed: bytes) -> bytes:
     return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
-def candidates(docs: DataFrame, measure: Callable, within: bool, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def candidates(docs: DataFrame, measure: Callable, within: bool, name: str, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scan all texts for anchors and find those that occur again.
 
     `measure(offsets, data)` gives, for a chunk of texts, sizes, digests, hashes of what is kept if nothing is removed, and `anchors`.
@@ -187,7 +194,7 @@ def candidates(docs: DataFrame, measure: Callable, within: bool, name: str) -> t
     documents = scanned.filter("n is not null").select("doc_id", "n", "digest", "kept")
     classes = documents.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     runs = scanned.filter("target is not null").select("target", "part", "blob").repartition(pieces, "target")
-    again = runs.groupBy("target").applyInArrow(_again(within), "part string, blob binary")
+    again = runs.groupBy("target").applyInArrow(_again(within, hot), "part string, blob binary")
     heads = scanned.filter("target is null and n is null").select("part", F.lit(True).alias("head"), "blob")
     places = heads.unionByName(again.select("part", F.lit(False).alias("head"), "blob")).groupBy("part").applyInArrow(
         _places, "doc_id long, places binary"

@@ -163,7 +163,7 @@ def _runs(pieces: int):
 
             for doc, packed, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "places"))):
                 raw = expand(packed)
-                at, least, most = read_places(blob)
+                at, least, most, _ = read_places(blob)
                 keys = span_hash(prefix_hash(np.frombuffer(raw, np.uint8)), at, at + GRAM).astype(">u8").tobytes()
                 for i, (p, lo, hi) in enumerate(zip(at.tolist(), least.tolist(), most.tolist())):
                     suffix = keys[KEY * i : KEY * i + KEY] + raw[p : p - lo + WINDOW]

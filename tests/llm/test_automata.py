@@ -6,9 +6,9 @@ import re
 
 import numpy as np
 
-from foliolens.llm.automata import WINDOW, Automaton, substring_dedup
+from foliolens.llm.automata import FRAGMENTS, WINDOW, Automaton, _fragments, measure, substring_dedup
 from foliolens.llm.queries import QUERIES
-from foliolens.llm.repeats import anchors, sliding_argmin, union_spans
+from foliolens.llm.repeats import anchors, candidates, sliding_argmin, union_spans
 from tests.conftest import FOLDER
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -98,6 +98,21 @@ def test_against_brute_force(rows):
     assert got(substring_dedup(frame)) == brute(docs)
 
 
+def test_common_passage_is_split_over_targets(rows):
+    draw = random.Random(7)
+    passage = [f"p{i}" for i in range(24)]
+    docs = []
+    for d in range(2400):
+        around = [f"u{draw.randrange(30)}" if draw.random() < 0.7 else f"v{d}" for _ in range(20)]
+        cut = draw.randrange(20)
+        docs.append((draw.randrange(10**6) * 2400 + d, " ".join(around[:cut] + passage + around[cut:] + (passage if d % 9 == 0 else []))))
+    frame = rows("doc_id long, text string", docs)
+    assert got(substring_dedup(frame)) == brute(docs)
+    sent = candidates(frame, measure, False, "words")[2].mapInArrow(_fragments(50), FRAGMENTS).filter("text is not null")
+    sizes = [r["count"] for r in sent.groupBy("target").count().collect()]
+    assert max(sizes) < 1000
+
+
 def test_texts(rows):
     a = " ".join(f"w{i}" for i in range(20))
     frame = rows("doc_id long, text string", [(1, a), (2, f"x {a} y"), (3, a), (4, "q")])
