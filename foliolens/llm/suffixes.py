@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.llm.jaccard import _table
-from foliolens.llm.kernels import prefix_hash, span_hash
+from foliolens.llm.kernels import pack, prefix_hash, span_hash, unpack
 from foliolens.llm.repeats import anchors, candidates, expand, read_places, union_spans
 from foliolens.llm.store import targets
 
@@ -19,7 +19,11 @@ WINDOW = 400
 GRAM = 128
 #: Suffix bytes that one task holds before it sends a run.
 HELD = 24 << 20
+#: What a window of a hot anchor counts for in it.
+WINDOW_COST = 128
 KEY = 8
+#: Suffixes whose windows are compared at once, in whole groups.
+AT_ONCE = 4096
 EMPTY = hashlib.sha256(b"").digest()
 
 
@@ -127,19 +131,25 @@ def decode(blob: bytes) -> tuple[list[bytes], list[int], list[bytes], np.ndarray
     return strings, table[0].tolist(), lefts, table[3:]
 
 
-RUNS = "target int, blob binary, doc_id long, first long, last long"
-_RUNS = pa.schema([("target", pa.int32()), ("blob", pa.binary()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+RUNS = "target int, blob binary, windows binary, doc_id long, first long, last long"
+_RUNS = pa.schema([
+    ("target", pa.int32()), ("blob", pa.binary()), ("windows", pa.binary()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
+])
+_WINDOWS = (np.uint64, np.int64, np.uint8, np.uint64, np.uint64)
 
 
 def _runs(pieces: int):
     """Sorted runs of the suffixes at the places that occur again, dealt by the hash in front of each.
 
     Equal suffixes with equal windows that meet in one task are settled there; one of them goes on for the others' sake.
+    Around a hot anchor each window goes by its own digest, once per task, and those met before are settled.
     """
 
     def run(batches):
         held: dict[tuple, tuple[int, int]] = {}
         settled: set[tuple] = set()
+        whole: dict[tuple, tuple[int, int]] = {}
+        windows: dict[bytes, list[int]] = {}  # document, start, whether it occurs again in the task
         size = 0
 
         def send():
@@ -151,8 +161,16 @@ def _runs(pieces: int):
                 strings, lefts = [x[0] for x in run_], [x[1] for x in run_]
                 rest = [np.array([x[i] for x in run_], np.int64) for i in range(2, 6)]
                 rows.append({"target": target, "blob": front_code(strings, neighbours(strings), lefts, *rest)})
-            held.clear()
-            settled.clear()
+            apart: dict[int, list] = {}
+            for name, found in windows.items():
+                apart.setdefault(int.from_bytes(name[:4], "big") % pieces, []).append((*found, name))
+            for target, found in apart.items():
+                found.sort()
+                ids, starts, several = (np.array(c, t) for c, t in zip(list(zip(*found))[:3], (np.int64, np.int64, np.uint8)))
+                halves = np.frombuffer(b"".join(x[3] for x in found), np.uint64).reshape(-1, 2)
+                rows.append({"target": target, "windows": pack(ids.view(np.uint64), starts, several, halves[:, 0], halves[:, 1])})
+            for kept in (held, settled, whole, windows):
+                kept.clear()
             return _table(_RUNS, rows)
 
         for batch in batches:
@@ -163,9 +181,32 @@ def _runs(pieces: int):
 
             for doc, packed, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "places"))):
                 raw = expand(packed)
-                at, least, most, _ = read_places(blob)
+                at, least, most, often = read_places(blob)
                 keys = span_hash(prefix_hash(np.frombuffer(raw, np.uint8)), at, at + GRAM).astype(">u8").tobytes()
-                for i, (p, lo, hi) in enumerate(zip(at.tolist(), least.tolist(), most.tolist())):
+                for i, (p, lo, hi, hot) in enumerate(zip(at.tolist(), least.tolist(), most.tolist(), often.tolist())):
+                    if hot:
+                        name = hashlib.sha256(raw[p - hi : p - lo + WINDOW]).digest(), lo, hi
+                        if name in whole:
+                            settle(doc, p, lo, hi)
+                            if name not in settled:
+                                settled.add(name)
+                                settle(*whole[name], lo, hi)
+                            continue
+                        whole[name] = doc, p
+                        size += WINDOW_COST
+                        for start in range(p - hi, p - lo + 1):
+                            digest = hashlib.blake2b(raw[start : start + WINDOW], digest_size=16).digest()
+                            met = windows.get(digest)
+                            if met is None:
+                                windows[digest] = [doc, start, 0]
+                                size += WINDOW_COST
+                                continue
+                            met[2] = 1
+                            if out and out[-1]["doc_id"] == doc and out[-1]["last"] == start - 1 + WINDOW:
+                                out[-1]["last"] += 1
+                            else:
+                                settle(doc, start, 0, 0)
+                        continue
                     suffix = keys[KEY * i : KEY * i + KEY] + raw[p : p - lo + WINDOW]
                     name = suffix, raw[p - hi : p][::-1], lo, hi
                     if name in held:
@@ -210,9 +251,29 @@ def repeated(strings_prefix: np.ndarray, lefts: list[bytes], least: np.ndarray,
     return flags
 
 
+def slices(group: np.ndarray, most: int) -> list[int]:
+    """Where to cut sorted groups into slices of whole groups, of at most `most` rows unless one group has more."""
+    cuts, begin, ends = [], 0, np.append(np.flatnonzero(np.diff(group)) + 1, len(group)).tolist()
+    for end, following in zip(ends, ends[1:]):
+        if following - begin > most:
+            cuts.append(end)
+            begin = end
+    return cuts
+
+
 def _merge(table: pa.Table) -> pa.Table:
     """Merge all runs of one target and give the spans of repeated windows."""
     doc, first, last = ([x for x in table.column(c).to_pylist() if x is not None] for c in ("doc_id", "first", "last"))
+    apart = [unpack(b, *_WINDOWS) for b in table.column("windows").to_pylist() if b is not None]
+    if apart:  # windows of hot anchors, by their digests
+        ids, at, several, high, low = (np.concatenate(c) for c in zip(*apart))
+        order = np.lexsort((low, high))
+        equal = (np.diff(high[order]) == 0) & (np.diff(low[order]) == 0)
+        again = several > 0
+        again[order] |= np.append(equal, False) | np.append(False, equal)
+        doc += ids[again].view(np.int64).tolist()
+        first += at[again].tolist()
+        last += (at[again] + WINDOW).tolist()
     runs = [decode(b) for b in table.column("blob").to_pylist() if b is not None]
     if runs:
         place = [(r, i, p) for r, i, p in LoserTree([(x[0], x[1]) for x in runs])]
@@ -225,17 +286,18 @@ def _merge(table: pa.Table) -> pa.Table:
         group = np.cumsum(prefix < KEY)
         many = np.bincount(group)[group] > 1
         # A suffix between two others has the least prefix of both steps.
-        keep = np.flatnonzero(many)
-        flags = repeated(prefix[keep], [lefts[i] for i in keep], numbers[2][keep], numbers[3][keep])
-        wide = np.zeros((len(keep), flags.shape[1] + 2), np.int8)
-        wide[:, 1:-1] = flags
-        edge = np.diff(wide, axis=1)
-        who, low = np.nonzero(edge == 1)
-        _, high = np.nonzero(edge == -1)
-        ids, at = numbers[0][keep][who], numbers[1][keep][who]
-        doc += ids.tolist()
-        first += (at - high + 1).tolist()
-        last += (at - low + WINDOW).tolist()
+        kept = np.flatnonzero(many)
+        for keep in np.split(kept, slices(group[kept], AT_ONCE)):
+            flags = repeated(prefix[keep], [lefts[i] for i in keep], numbers[2][keep], numbers[3][keep])
+            wide = np.zeros((len(keep), flags.shape[1] + 2), np.int8)
+            wide[:, 1:-1] = flags
+            edge = np.diff(wide, axis=1)
+            who, low = np.nonzero(edge == 1)
+            _, high = np.nonzero(edge == -1)
+            ids, at = numbers[0][keep][who], numbers[1][keep][who]
+            doc += ids.tolist()
+            first += (at - high + 1).tolist()
+            last += (at - low + WINDOW).tolist()
     return pa.table({"doc_id": pa.array(doc, pa.int64()), "first": pa.array(first, pa.int64()), "last": pa.array(last, pa.int64())})
 
 
@@ -266,6 +328,7 @@ def suffix_dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     bytes occur again.  Each task sorts its suffixes (400 bytes at most, behind a hash of the first 128 that deals them evenly) and
     sends front-coded runs, with the bytes before each suffix; a loser tree merges the runs of a target and yields common prefixes of
     neighbours.  With the sorted left contexts they tell exactly which 400-byte windows around each place occur twice.
+    Windows around an anchor of more than 2,000 places are dealt by their own 128-bit digests instead, so that no target holds them all.
 
     Texts are UTF-8; null is empty.  Returns a row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with `texts` kept_bytes, null
     where nothing was removed.  Equal texts of 400 bytes or more are removed whole, all of them.  Rows of one doc_id are expected to have one

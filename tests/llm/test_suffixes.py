@@ -9,6 +9,7 @@ import numpy as np
 
 from foliolens.llm import suffixes
 from foliolens.llm.queries import QUERIES
+from foliolens.llm.repeats import candidates
 from tests.conftest import FOLDER
 
 
@@ -83,6 +84,27 @@ def test_against_brute_force(rows):
     assert got(suffixes.suffix_dedup(frame)) == brute(docs)
 
 
+def test_common_passage_is_split_over_targets(rows):
+    draw = random.Random(11)
+    passage, edges = "".join(draw.choices("abcdef", k=430)), ["".join(draw.choices("gh", k=60)) for _ in range(40)]
+    docs = []
+    for d in range(2200):
+        left, right = ("".join(draw.choices("ijkl", k=30)) + draw.choice(edges)[: draw.randrange(60)] for _ in range(2))
+        docs.append((draw.randrange(10**6) * 2200 + d, left + passage + right[::-1]))
+    frame = rows("doc_id long, text string", docs)
+    assert got(suffixes.suffix_dedup(frame)) == brute(docs)
+    sent = candidates(frame, suffixes.measure, True, "bytes")[2].mapInArrow(suffixes._runs(50), suffixes.RUNS)
+    sizes = Counter()
+    for r in sent.collect():
+        sizes[r.target] += sum(len(x) for x in r if isinstance(x, bytes | bytearray))
+    assert max(sizes.values()) < sum(sizes.values()) / 5
+
+
+def test_slices_keep_groups_whole():
+    group = np.repeat([3, 4, 6, 7, 9], [2, 3, 9, 1, 1])
+    assert suffixes.slices(group, 5) == [5, 14] and suffixes.slices(group, 99) == [] and suffixes.slices(group[:0], 5) == []
+
+
 def test_bytes(rows):
     draw = random.Random(9)
     passage = "".join(draw.choices("abcdef", k=500))
