@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.llm.kernels import mix
-from foliolens.llm.store import stage
+from foliolens.llm.store import extended, fresh, stage
 
 #: Digests in each shard of the hash on average, which bounds what one task holds.
 SHARD_KEYS = 50_000
@@ -182,8 +182,23 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.filter(earlier), docs.filter(~earlier)
 
 
+def _with_digest(name: str):
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").fill_null("").cast(pa.large_binary())
+            own = pa.array([hashlib.sha256(t.as_py().lower()).hexdigest() for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, name])
+
+    return run
+
+
 def largest_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their columns unchanged; of repeated rows of one doc_id one stays, rows without doc_id all stay."""
-    stays = exact_dedup(*halves(docs)).filter("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.join(stays, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter("doc_id is null"))
+    """The documents that stay, with their columns unchanged: rows are decided by doc_id and text, and of repeated ones that stay one does.
+
+    Rows of one doc_id with different texts are each held against the rows of their own text.  Rows without doc_id lose to rows that have one.
+    """
+    own, doc = fresh(docs, "own"), fresh(docs, "winner")
+    kept = exact_dedup(*halves(docs)).filter("kept").select(F.col("doc_id").alias(doc), F.col("text_sha256").alias(own)).distinct()
+    rows = docs.mapInArrow(_with_digest(own), extended(docs, **{own: "string"}))
+    match = rows["doc_id"].cast("long").eqNullSafe(kept[doc]) & (rows[own] == kept[own])
+    return rows.join(kept, match, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)

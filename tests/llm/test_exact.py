@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from foliolens.llm.exact import PerfectHash, exact_dedup
+from foliolens.llm.exact import PerfectHash, exact_dedup, largest_of_each
 from foliolens.llm.queries import QUERIES, SQL
 from tests.conftest import FOLDER
 from tools.compare import compare, connect
@@ -49,3 +49,11 @@ def test_rows(rows):
     assert exact_dedup(old.limit(0), new.limit(0)).collect() == []
     assert exact_dedup(old.limit(0), new).count() == 6
     assert exact_dedup(old, new.limit(0)).count() == 4
+
+
+def test_largest_of_each_decides_by_doc_id_and_text(rows):
+    made = [(1, "a", 0), (1, "b", 1), (1, "b", 1), (2, "A", 2), (3, "c", 3), (3, "a", 4), (None, "C", 5), (None, "d", 6), (None, "d", 6), (4, None, 7)]
+    out = largest_of_each(rows("doc_id long, text string, own int", made))
+    assert out.columns == ["doc_id", "text", "own"]
+    assert sorted(tuple(r) for r in out.collect() if r.doc_id) == [(1, "b", 1), (3, "a", 4), (3, "c", 3), (4, None, 7)]
+    assert [tuple(r) for r in out.collect() if r.doc_id is None] == [(None, "d", 6)]
