@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliolens.llm.audit import audit_filters
 from foliolens.llm.automata import substring_dedup
+from foliolens.llm.blocks import extract_main_text
 from foliolens.llm.exact import exact_dedup, halves
 from foliolens.llm.hilbert import hilbert_shards
 from foliolens.llm import language, quality
 from foliolens.llm.jaccard import jaccard_components
 from foliolens.llm.lines import line_dedup
+from foliolens.llm.middle import fill_in_middle, restore
 from foliolens.llm.packing import pack_documents
 from foliolens.llm.seeds import find_overlaps
 from foliolens.llm.suffixes import suffix_dedup
@@ -127,3 +130,72 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    first AS (SELECT t, min(doc_id) AS low FROM d GROUP BY t),
+    w AS (SELECT d.*, first.low, list_filter(string_split_regex(d.t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d JOIN first USING (t)),
+    l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY doc_id),
+    f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+            (CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END)
+            + (CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END)
+            + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN low < w.doc_id THEN 16 ELSE 0 END) AS bits
+          FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+    c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+    k(f, l) AS (VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D'), (4, 'E')),
+    o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.f, b.f, c.f, d.f, e.f] AS fs
+          FROM k a, k b, k c, k d, k e
+          WHERE a.f NOT IN (b.f, c.f, d.f, e.f) AND b.f NOT IN (c.f, d.f, e.f) AND c.f NOT IN (d.f, e.f) AND d.f <> e.f),
+    s AS (SELECT filter_order, i AS step, 1 << fs[i] AS bit, coalesce(list_sum(list_transform(fs[1:i-1], lambda x: 1 << x)), 0)::BIGINT AS before
+          FROM o, range(1, 6) r(i)),
+    x AS (SELECT part, filter_order, step::INTEGER AS step, bit,
+            coalesce(sum(n) FILTER (bits & (bit | before) = 0), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (bits & bit <> 0 AND bits & before = 0), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (bits & bit <> 0 AND bits & before <> 0), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (bits = bit), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (bits & bit <> 0 AND bits & before = 0), 0)::BIGINT AS good_lost,
+            coalesce(sum(toxic) FILTER (bits & bit <> 0 AND bits & before = 0), 0)::BIGINT AS toxic_lost
+          FROM c, s GROUP BY 1, 2, 3, 4)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM x
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query(
+    "op12_fill_in_middle",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+                 list_transform(range(4), lambda i: ('0x' || substr(h, 8 * i + 1, 8))::BIGINT) AS hs FROM d),
+    c AS (SELECT doc_id, t, us, len(us) AS n, least(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS a,
+                 greatest(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR hs[3] % 100 >= 50 THEN 'plain'
+                      WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(us[1:a], ''), '') AS x, coalesce(array_to_string(us[a + 1:b], ''), '') AS m,
+                 coalesce(array_to_string(us[b + 1:], ''), '') AS y FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || y || '<M>' || m
+                            ELSE '<S>' || y || '<P>' || x || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(read(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(restore("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))

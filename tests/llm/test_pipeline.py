@@ -59,7 +59,7 @@ def test_odd_rows_go_through_all_stages(spark, rows):
 
 def test_registered():
     names = set(entry.queries())
-    assert {"pipeline", *QUERIES} <= names and len([n for n in QUERIES if n.startswith("op")]) == 10
+    assert {"pipeline", *QUERIES} <= names and len([n for n in QUERIES if n.startswith("op")]) == 13
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_jaccard", "decontamination", "packing"]
 
 
