@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foliolens.catalog.base import CONTEXT, FEATURES, LINES, WS, Tables, query, sql_collapse, sql_strip
 from foliolens.functions import text as tx
 from foliolens.operators import lines as ln
+from foliolens.operators import tagging
 from foliolens.operators.training import LAYOUT_FEATURES, LINE_FEATURES, filled
 from foliolens.sources import tables as tb
 
@@ -211,6 +212,13 @@ def pos_counts(t: Tables):
     return t.all_features.select("doc_id", "line_idx", *tx.TAG_CLASSES)
 
 
+@query("pos_tagged")
+def pos_tagged(t: Tables):
+    """Word classes of every line by the trained tagger; no SQL counterpart, tests hold its decoding against brute force."""
+    tagger = tagging.Tagger.fit(tagging.corpus(t.spark))
+    return tagging.with_tag_counts(t.features, tagger).select("doc_id", "line_idx", *tx.TAG_CLASSES)
+
+
 @query("spacing", "WITH " + CONTEXT + " SELECT doc_id, page, line_idx, spacing_before, spacing_after FROM context")
 def spacing(t: Tables):
     return ln.with_page_context(t.features).select("doc_id", "page", "line_idx", "spacing_before", "spacing_after")

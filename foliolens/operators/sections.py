@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliolens.functions.text import clean_title
 from foliolens.plans.chunks import attach, chunk_of, running_sum
+from foliolens.plans.shipping import by_value
 
 SSE_DIGITS = 6
 
@@ -59,19 +60,10 @@ def size_borders(blocks: DataFrame, digits: int = 2) -> DataFrame:
     histograms = bins.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("points", "n"))).alias("bins"))
     kind = blocks.schema["doc_id"].dataType.simpleString()
     return histograms.select("doc_id", F.col("bins.points").alias("points"), F.col("bins.n").alias("counts")).mapInPandas(
-        _by_value(_cuts), f"doc_id {kind}, h1_from double, h2_from double"
+        by_value(_cuts), f"doc_id {kind}, h1_from double, h2_from double"
     )
 
 
-def _by_value(function):
-    """Ship the function's code with the task, so that workers need not have this package installed."""
-    from pyspark import cloudpickle
-    import sys
-
-    cloudpickle.register_pickle_by_value(sys.modules[function.__module__])
-    return function
-
-
 def with_levels(blocks: DataFrame, digits: int = 2) -> DataFrame:
     """Adds the level H1..H3 of each block from its document's font sizes."""
     chunked = blocks.withColumn("_chunk", chunk_of("block_idx"))

@@ -24,8 +24,12 @@ def test_equals_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, FOLDER), con, SQL[name]) == ""
 
 
+# Decoding and training that SQL cannot express: held against plain versions in the tests of their operators.
+WITHOUT_SQL = {"pos_tagged"}
+
+
 def test_every_query_has_sql():
-    assert set(catalog.QUERIES) == set(SQL)
+    assert set(catalog.QUERIES) == set(SQL) | WITHOUT_SQL
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
