@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.operators.labels import LEVELS, TEXT_LEVELS, class_of, in_vocabulary, label_first, label_last, label_title
+from foliolens.operators.boosting import SoftmaxBoosting
 from foliolens.operators.labels import labelled, level_of
+from foliolens.operators.network import FusedNetwork
 from foliolens.plans.chunks import numbered
 from foliolens.sources.files import outline_entries
 
@@ -165,6 +167,11 @@ def boosted_trees(rounds: int = 100, depth: int = 6, rate: float = 0.1, seed: in
     return OneVsRest(classifier=one, labelCol="class", featuresCol="features", parallelism=4)
 
 
+def softmax_trees(rounds: int = 100, depth: int = 6, rate: float = 0.1, classes: int = 4) -> SoftmaxBoosting:
+    """Boosting of one softmax over all classes: fewer passes and a lower loss than `boosted_trees`, a model per class against the rest."""
+    return SoftmaxBoosting(rounds=rounds, depth=depth, rate=rate, classes=classes)
+
+
 def perceptron(inputs: int, classes: int = 4, rounds: int = 300, seed: int = 42) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(
         labelCol="class", featuresCol="features", layers=[inputs, 32, 16, classes], maxIter=rounds, seed=seed
@@ -187,6 +194,16 @@ def text_layout_classifier(train: DataFrame, vocabulary: int = 1 << 18, rounds:
     return Pipeline(stages=stages).fit(rows)
 
 
+def fused_classifier(train: DataFrame, **settings) -> PipelineModel:
+    """Words of the text, none left out, next to the scaled layout columns, through a hidden layer into the classes."""
+    rows = filled(train, LAYOUT_FEATURES).withColumn("class", F.col("class").cast("double"))
+    layout = vector_stages(rows, LAYOUT_FEATURES, scale=True)
+    layout[-1].setOutputCol("layout")
+    words = RegexTokenizer(inputCol="text", outputCol="words", pattern="[^\\p{L}\\p{N}_]+", minTokenLength=1)
+    network = FusedNetwork(classes=len(TEXT_LEVELS), **settings)
+    return Pipeline(stages=[words, *layout, network]).fit(rows)
+
+
 def score(rows: DataFrame, model: PipelineModel, names: list[str], vocabulary: dict[str, int] = LEVELS) -> DataFrame:
     """Adds the predicted level of every row in one pass."""
     inputs = filled(rows.select("*", *[F.col(n).alias(f"_kept_{n}") for n in names if n in rows.columns]), names)
