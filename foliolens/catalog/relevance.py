@@ -11,7 +11,7 @@ from foliolens.operators import lines as ln
 from foliolens.operators import ranking
 from foliolens.operators import relevance as rv
 from foliolens.operators import sections as sc
-from foliolens.operators.encoding import cosine_to
+from foliolens.operators.encoding import Encoder, cosine_to, encode
 from foliolens.plans import ranking_flow as flow
 
 
@@ -171,6 +171,24 @@ def topk_dense(t: Tables):
     return rv.top_sections(scored).select("doc_id", "section_idx", F.round("score", 5).alias("score"), "importance_rank")
 
 
+def trained_encoder(t: Tables) -> Encoder:
+    return Encoder.fit(t.sections)
+
+
+@query("encode_sections")
+def encode_sections(t: Tables):
+    """Every section as a vector of unit length by an encoder trained on all of them; tests hold it against a plain SVD."""
+    return encode(t.sections, trained_encoder(t).make()).select("doc_id", "section_idx", "embedding")
+
+
+@query("topk_encoded")
+def topk_encoded(t: Tables):
+    """Top sections by the trained encoder's cosine to the query and the lexical score."""
+    sections, configs = flow.encoded(t.sections, t.configs, trained_encoder(t), ROUTES)
+    scored = rv.section_scores(sections, flow.queries_of(configs, ROUTES), ["collection"])
+    return rv.top_sections(scored).select("doc_id", "section_idx", F.round("score", 5).alias("score"), "importance_rank")
+
+
 def scores(t: Tables):
     return rv.section_scores(t.sections, flow.queries_of(t.configs, ROUTES), ["collection"])
 
