@@ -89,13 +89,10 @@ RAW = ["doc_id", "line_idx", "page", "text", "font_size", "length", "num_words",
     (row_number() OVER (PARTITION BY doc_id ORDER BY line_idx) - 1)::INTEGER AS place, {', '.join(RAW[2:])} FROM features""",
 )
 def src_raw_lines(t: Tables):
-    """Each document's lines as a JSON array over several lines in a folder of its own, read back by the reader of such files."""
+    """Each document's lines as a JSON array in a file of its own, by the exact name that the reader of such files expects."""
     folder = scratch(t.spark, "lines")
-    record = F.struct("line_idx", F.struct(*[n for n in LINE_NAMES if n in t.features.columns]).alias("r"))
-    made = t.features.groupBy("doc_id").agg(F.array_sort(F.collect_list(record)).alias("rs"))
-    text = F.to_json(F.transform("rs", lambda x: x["r"]), {"pretty": "true"}).alias("value")
-    made.select("doc_id", text).repartition("doc_id").write.partitionBy("doc_id").text(folder)
-    back = files.read_raw_lines(t.spark, folder, "part-*", by_folder=True)
+    sinks.write_lines(t.features, folder, per_document=True)
+    back = files.read_raw_lines(t.spark, folder)
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_idx")) - 1
     return back.select("doc_id", place.cast("int").alias("place"), *RAW[2:])
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from foliolens.catalog.base import CONFIGS, Tables, query, sql_strip
 from foliolens.catalog.relevance import REFINED, ROUTES
 from foliolens.operators import report as rp
-from foliolens.plans.lineage import cut, lookup_join, scratch
-from foliolens.plans.ranking_flow import collection_reports
-from foliolens.sources import cache, files
+from foliolens.plans.lineage import lookup_join, scratch
+from foliolens.plans.ranking_flow import collection_report_rows, collection_reports
+from foliolens.sources import cache, files, sinks
 
 TITLED = (
     REFINED
@@ -23,23 +23,31 @@ titled AS (
 )
 
 
-# Parts of the reports: ranges of document numbers.
-PARTS = f"""
-parts AS (
-  SELECT collection, d.part, c.persona, c.job, documents::INTEGER AS documents, coalesce(sections, 0)::INTEGER AS sections,
-         spanish::INTEGER AS spanish
+# Expected contents of each collection's report.
+EXPECTED = """
+expected AS (
+  SELECT c.collection, c.persona, c.job, documents, coalesce(sections, 0) AS sections, spanish
   FROM configs c
-  JOIN (SELECT source AS collection, (doc_id // {rp.DOCUMENTS_PER_PART})::INTEGER AS part, count(*) AS documents,
-               count(*) FILTER (lang = 'es') AS spanish FROM documents GROUP BY ALL) d USING (collection)
-  LEFT JOIN (SELECT collection, (doc_id // {rp.DOCUMENTS_PER_PART})::INTEGER AS part, count(*) AS sections FROM titled GROUP BY ALL) s
-    USING (collection, part)
+  JOIN (SELECT source AS collection, count(*) AS documents, count(*) FILTER (lang = 'es') AS spanish FROM documents GROUP BY ALL) d
+    USING (collection)
+  LEFT JOIN (SELECT collection, count(*) AS sections FROM titled GROUP BY ALL) s USING (collection)
 )"""
 
 
-def reports(t: Tables):
+def _named(t: Tables):
     name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document")
-    documents = t.documents.select(F.col("source").alias("collection"), "doc_id", name)
-    return collection_reports(documents, t.sections, t.configs, routes=ROUTES)
+    return t.documents.select(F.col("source").alias("collection"), "doc_id", name)
+
+
+def reports(t: Tables):
+    return collection_reports(_named(t), t.sections, t.configs, routes=ROUTES)
+
+
+def report_lines(t: Tables):
+    """One JSON file per collection, written and read back line by line."""
+    folder = scratch(t.spark, "reports")
+    sinks.write_report_files(collection_report_rows(_named(t), t.sections, t.configs, routes=ROUTES), folder)
+    return sinks.read_report_lines(t.spark, folder)
 
 
 @query(
@@ -64,21 +72,12 @@ def report_sections(t: Tables):
 
 @query(
     "report_json",
-    "WITH " + TITLED
-    + f""", {PARTS} SELECT collection, part, persona, job, documents, sections, 1 AS stamped FROM parts""",
+    "WITH " + TITLED + f", {EXPECTED} SELECT collection, persona, job, documents, sections, sections AS analyses, 1 AS stamped FROM expected",
 )
 def report_json(t: Tables):
-    """What the JSON reports hold, but for the time stamp, of which only the form is looked at."""
-    parsed = rp.parse_reports(rp.report_json(reports(t)))
-    return parsed.select(
-        "collection",
-        "part",
-        "metadata.persona",
-        F.col("metadata.job_to_be_done").alias("job"),
-        F.size("metadata.input_documents").alias("documents"),
-        F.size("extracted_sections").alias("sections"),
-        F.col("metadata.processing_timestamp").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.]+$").cast("int").alias("stamped"),
-    )
+    """What the JSON report of each collection holds, but for the time stamp, of which only the form is looked at."""
+    stamped = F.col("processing_timestamp").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.]+$").cast("int").alias("stamped")
+    return rp.summarise_lines(report_lines(t)).select("collection", "persona", "job", "documents", "sections", "analyses", stamped)
 
 
 RULES = [
@@ -94,28 +93,23 @@ RULES = [
 VIOLATIONS = {
     "sections.section_title present": "SELECT count(*) FROM titled WHERE section_title IS NULL",
     "analysis.refined_text present": "SELECT count(*) FROM titled WHERE refined_text IS NULL",
-    "sections not empty": "SELECT count(*) FROM parts WHERE sections = 0",
-    "analysis not empty": "SELECT count(*) FROM parts WHERE sections = 0",
-    "persona equal": "SELECT count(*) FROM parts WHERE collection LIKE '%7'",
-    "document count equal": "SELECT count(*) FROM parts WHERE spanish > 0",
+    "sections not empty": "SELECT count(*) FROM expected WHERE sections = 0",
+    "analysis not empty": "SELECT count(*) FROM expected WHERE sections = 0",
+    "persona equal": "SELECT count(*) FROM expected WHERE collection LIKE '%7'",
+    "document count equal": "SELECT count(*) FROM expected WHERE spanish > 0",
 }
 
 
 @query(
     "validate_report",
-    "WITH " + TITLED + ", " + PARTS + " "
+    "WITH " + TITLED + ", " + EXPECTED + " "
     + " UNION ALL ".join(f"SELECT '{r}' AS rule, ({VIOLATIONS.get(r, 'SELECT 0')})::BIGINT AS violations" for r in RULES),
 )
 def validate_report(t: Tables):
-    parsed = cut(rp.parse_reports(rp.report_json(reports(t))))
-    counts = t.documents.groupBy(F.col("source").alias("collection"), rp.part_of("doc_id").alias("part")).agg(
-        F.count_if(F.col("lang") != "es").alias("documents")
-    )
+    counts = t.documents.groupBy(F.col("source").alias("collection")).agg(F.count_if(F.col("lang") != "es").alias("documents"))
     persona = F.when(F.col("collection").endswith("7"), F.upper("persona")).otherwise(F.col("persona"))
-    truth = t.configs.join(counts, "collection").select(
-        "collection", "part", persona.alias("persona"), "job", "documents"
-    )
-    return rp.validate(parsed, truth)
+    truth = t.configs.join(counts, "collection").select("collection", persona.alias("persona"), "job", "documents")
+    return rp.validate_lines(report_lines(t), truth)
 
 
 PER_CONFIG = 100
