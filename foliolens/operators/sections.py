@@ -14,38 +14,60 @@ from foliolens.plans.shipping import by_value
 SSE_DIGITS = 6
 
 
-def _cuts(batches: Iterator) -> Iterator:
-    """The two borders that split each document's sizes into three groups of least squared deviation.
+def split_points(points, counts, groups: int) -> list[int]:
+    """The borders that split ascending points, each with a count, into groups of least squared deviation.
 
-    All pairs of borders are compared, one row of the matrix at a time, by their cost at six decimals; of equal
-    ones the first counts.  Sizes are taken from their mean, so that sums of squares lose no digits.
+    `best[f]` is the least cost of the points from `f` on in so many groups.  The border that reaches it never moves back as `f` grows, so
+    each further group is found by halving: the border of the middle one bounds those of both halves.  Costs are compared
+    at six decimals; of equal splits the one whose first border (then second, ...) is smallest counts.  Points are taken from their mean,
+    so that sums of squares lose no digits.
     """
     import numpy as np
-    import pandas as pd
 
-    def cuts(points, counts):
-        points, counts = np.asarray(points, float), np.asarray(counts, float)
-        points = points - (points * counts).sum() / counts.sum()
-        count, total, squares = (np.append(0.0, np.cumsum(x)) for x in (counts, counts * points, counts * points * points))
-        size = len(counts)
+    points, counts = np.asarray(points, float), np.asarray(counts, float)
+    points = points - (points * counts).sum() / counts.sum()
+    count, total, squares = (np.append(0.0, np.cumsum(x)) for x in (counts, counts * points, counts * points * points))
+    size = len(counts)
+
+    def spread(i, j):
+        return squares[j] - squares[i] - (total[j] - total[i]) ** 2 / (count[j] - count[i])
+
+    starts = np.arange(size)
+    layers = [spread(starts, size)]
+    for more in range(1, groups):
+        after, best = layers[-1], np.full(size, np.inf)
+        ranges = [(0, size - more - 1, 1, size - more)]  # starts to do, and where their borders can lie
+        while ranges:
+            low, high, least, most = ranges.pop()
+            if low > high:
+                continue
+            middle = (low + high) // 2
+            ends = np.arange(max(least, middle + 1), most + 1)
+            cost = spread(middle, ends) + after[ends]
+            at = int(cost.argmin())
+            best[middle] = cost[at]
+            ranges += [(low, middle - 1, least, int(ends[at])), (middle + 1, high, int(ends[at]), most)]
+        layers.append(best)
+    target, borders, cost, start = np.round(layers[-1][0], SSE_DIGITS), [], 0.0, 0
+    for left in range(groups - 1, 0, -1):
+        ends = np.arange(start + 1, size - left + 1)
+        # The same order of summation as over all splits: groups first to last.
+        reached = np.flatnonzero(np.round(cost + spread(start, ends) + layers[left - 1][ends], SSE_DIGITS) <= target)
+        end = int(ends[reached[0]]) if len(reached) else int(ends[(spread(start, ends) + layers[left - 1][ends]).argmin()])
+        cost, start = cost + spread(start, end), end
+        borders.append(end)
+    return borders
 
-        def spread(i, j):
-            return squares[j] - squares[i] - (total[j] - total[i]) ** 2 / (count[j] - count[i])
 
-        ends = np.arange(2, size)
-        last, best = spread(ends, size), None
-        for first in range(1, size - 1):
-            cost = np.round(spread(0, first) + spread(first, ends[first - 1 :]) + last[first - 1 :], SSE_DIGITS)
-            at = int(cost.argmin())
-            if best is None or cost[at] < best[0]:
-                best = cost[at], first, first + 1 + at
-        return best[1:]
+def _cuts(batches: Iterator) -> Iterator:
+    """The two borders that split each document's sizes into three groups."""
+    import pandas as pd
 
     for batch in batches:
         rows = []
         for doc_id, points, counts in zip(batch["doc_id"], batch["points"], batch["counts"]):
             # With up to three sizes, each is a group.
-            first, second = cuts(points, counts) if len(points) > 3 else (max(len(points) - 2, 0), len(points) - 1)
+            first, second = split_points(points, counts, 3) if len(points) > 3 else (max(len(points) - 2, 0), len(points) - 1)
             rows.append((doc_id, float(points[second]), float(points[first])))
         yield pd.DataFrame(rows, columns=["doc_id", "h1_from", "h2_from"])
 
