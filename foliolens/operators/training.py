@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliolens.operators.labels import LEVELS, TEXT_LEVELS, class_of, in_vocabulary, label_first, label_last, label_title
@@ -20,6 +20,7 @@ from foliolens.operators.boosting import SoftmaxBoosting
 from foliolens.operators.labels import labelled, level_of
 from foliolens.operators.network import FusedNetwork
 from foliolens.plans.chunks import numbered
+from foliolens.plans.lineage import cut, lookup_join
 from foliolens.sources.files import outline_entries
 
 # Feature columns of the three training sets, in order.
@@ -114,20 +115,54 @@ def split(rows: DataFrame, keys: list[str], share: float = 0.8, seed: int = 42)
     return rows.withColumn("part", F.when(in_train, "train").otherwise("test"))
 
 
+#: Low bits of a hash that the first counts leave out, so that both counts have at most 65,536 rows per label.
+LOW_BITS = 16
+
+
 def split_stratified(rows: DataFrame, keys: list[str], label: str = "label", share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Adds part with exactly floor(share * n) train rows of every label.
+    """Adds part with exactly floor(share * n) train rows of every label, those first by hash, then by keys.
 
-    Rows of a label are ordered by hash and numbered chunk by chunk of the hash range, so a label
-    that holds most rows is still worked on by many tasks.
+    The hash of the last train row is found from counts by its upper, then its lower half, so no task ever sorts the rows of a label.  Rows
+    that share that hash are told apart by their keys; only where the border runs through rows of equal keys are those numbered.  A null
+    label is a label, too.
     """
-    placed = rows.withColumn("_hash", SplitKey.of(*keys, seed=seed)).withColumn(
-        "_chunk", F.shiftright("_hash", 20)
-    )
-    numbered_rows = numbered(placed, [label], "_chunk", ["_hash", *keys], "_place", "_total")
-    in_train = F.col("_place") < F.floor(F.col("_total") * share)
-    return numbered_rows.withColumn("part", F.when(in_train, "train").otherwise("test")).drop(
-        "_hash", "_chunk", "_place", "_total"
-    )
+    group = F.to_json(F.struct(F.col(label).alias("l")))
+    placed = rows.withColumn("_hash", SplitKey.of(*keys, seed=seed)).withColumn("_group", group)
+    placed = placed.withColumn("_key", F.struct(*[F.col(k) for k in keys]))
+    known = cut(placed.select("_group", "_hash", "_key"))
+    before = Window.partitionBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+
+    def border(counts: DataFrame, column: str) -> DataFrame:
+        """The first value of a column, per group, with which the counts up to it reach the quota, and the quota that is left at it."""
+        earlier = F.coalesce(F.sum("n").over(before.orderBy(column)), F.lit(0))
+        reached = counts.withColumn("_before", earlier).where((F.col("_before") < F.col("quota")) & (F.col("_before") + F.col("n") >= F.col("quota")))
+        return reached.select("_group", column, (F.col("quota") - F.col("_before")).alias("quota"), "n")
+
+    high = F.shiftright("_hash", LOW_BITS).alias("high")
+    upper = known.groupBy("_group", high).agg(F.count(F.lit(1)).alias("n"))
+    quota = F.floor(F.sum("n").over(Window.partitionBy("_group")) * share)
+    upper = border(upper.withColumn("quota", quota), "high").drop("n")
+
+    def finer(found: DataFrame, column: str, match: str) -> DataFrame:
+        """The border among the rows that share the border so far, by one more column."""
+        inside = lookup_join(known.withColumn("high", F.shiftright("_hash", LOW_BITS)), found, ["_group", match], "inner", salt="_hash")
+        return cut(border(inside.groupBy("_group", column, "quota").agg(F.count(F.lit(1)).alias("n")), column))
+
+    last = finer(upper, "_hash", "high").drop("n")
+    keyed = finer(last, "_key", "_hash").withColumnsRenamed({"_key": "_last_key", "quota": "_left", "n": "_equal"})
+    ends = last.drop("quota").withColumnRenamed("_hash", "_last").join(keyed, "_group")
+    marked = lookup_join(placed, ends, ["_group"], "left", salt="_hash")
+    at_border = (F.col("_hash") == F.col("_last")) & (F.col("_key") == F.col("_last_key"))
+    train = (F.col("_hash") < F.col("_last")) | ((F.col("_hash") == F.col("_last")) & (F.col("_key") < F.col("_last_key")))
+    train = train | (at_border & (F.col("_left") == F.col("_equal")))
+    columns = [*rows.columns, "part"]
+    part = lambda inside: F.when(F.coalesce(inside, F.lit(False)), "train").otherwise("test")
+    if ends.where("_left < _equal").isEmpty():
+        return marked.withColumn("part", part(train)).select(*columns)
+    between = F.coalesce(at_border & (F.col("_left") < F.col("_equal")), F.lit(False))
+    alike = cut(marked.where(between)).withColumn("_id", F.monotonically_increasing_id()).withColumn("_chunk", F.shiftright("_id", 33))
+    counted = numbered(alike, ["_group"], "_chunk", ["_id"], "_place").withColumn("part", part(F.col("_place") < F.col("_left")))
+    return marked.where(~between).withColumn("part", part(train)).select(*columns).unionByName(counted.select(*columns))
 
 
 def vector_stages(rows: DataFrame, names: list[str], scale: bool) -> list:

@@ -70,3 +70,39 @@ def test_models_learn_and_reload(examples, kind, tmp_path):
 def test_missing_features_are_zero(rows):
     row = tr.filled(rows("font_size double", [(None,)]), ["font_size", "bold"]).first()
     assert (row.font_size, row.bold) == (0.0, 0.0)
+
+
+def placed(frame, keys, share, label="label"):
+    """The train rows as a window over each label would choose them."""
+    order = [tr.SplitKey.of(*keys), *keys]
+    window = tr.Window.partitionBy(label)
+    numbered = frame.withColumn("_p", F.row_number().over(window.orderBy(*order)) - 1).withColumn("_n", F.count(F.lit(1)).over(window))
+    return sorted(map(str, numbered.where(F.col("_p") < F.floor(F.col("_n") * share)).select(*frame.columns).collect()))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.001, 0.5, 0.8, 1.0])
+def test_stratified_split_against_a_window(spark, share):
+    frame = spark.range(3000).select("id", (F.col("id") % 3).alias("k"), F.expr("CASE WHEN id < 2500 THEN 'a' WHEN id < 2990 THEN 'b' END").alias("label"))
+    got = tr.split_stratified(frame, ["id", "k"], share=share)
+    assert got.columns == ["id", "k", "label", "part"] and got.count() == 3000
+    assert sorted(map(str, got.where("part = 'train'").drop("part").collect())) == placed(frame, ["id", "k"], share)
+
+
+def test_stratified_split_among_equal_hashes(spark, monkeypatch):
+    """With few hashes the border runs through rows of one hash; equal keys are split by number."""
+    plain = tr.SplitKey.of
+    monkeypatch.setattr(tr.SplitKey, "of", staticmethod(lambda *keys, seed=42: plain(*keys, seed=seed) % 3 * 70_000))
+    frame = spark.range(1000).select("id", F.lit("a").alias("label"))
+    got = tr.split_stratified(frame, ["id"])
+    assert sorted(map(str, got.where("part = 'train'").drop("part").collect())) == placed(frame, ["id"], 0.8)
+    same = spark.range(900).select((F.col("id") % 2).alias("id"), F.when(F.col("id") < 300, "x").otherwise("y").alias("label"), F.col("id").alias("extra"))
+    counts = {(r.label, r.part): r["count"] for r in tr.split_stratified(same, ["id"]).groupBy("label", "part").count().collect()}
+    assert counts == {("x", "train"): 240, ("x", "test"): 60, ("y", "train"): 480, ("y", "test"): 120}
+    assert tr.split_stratified(same, ["id"]).select("extra").distinct().count() == 900
+    assert tr.split_stratified(same.limit(0), ["id"]).collect() == []
+
+
+def test_no_window_sees_the_rows_of_a_label(spark):
+    frame = spark.range(100).select("id", F.lit("a").alias("label"))
+    plan = tr.split_stratified(frame, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
