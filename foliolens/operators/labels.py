@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliolens.functions.text import SPACE_CLASS, strip
 from foliolens.plans.chunks import chunk_of
-from foliolens.plans.lineage import salted_join
+from foliolens.plans.lineage import cut
 
 # Label vocabularies with their class numbers.
 LEVELS = {"BODY": 0, "H1": 1, "H2": 2, "H3": 3}
@@ -57,19 +57,17 @@ def _match(rows: DataFrame, entries: DataFrame, choose, page_base: int, lower: b
         """Digest of the text to match, so that a long text does not cross the shuffle twice."""
         return F.sha2(F.lower(strip(text)) if lower else strip(text), 256)
 
-    per_key = (
+    # One row per key, written out: without the layout of its grouping both sides are shuffled for the join, and Spark splits the
+    # rows of a hot key (a line repeated on one page) at run time, where the label side would else have to be repeated for all keys.
+    per_key = cut(
         entries.withColumn("_key", key("text"))
         .groupBy("doc_id", (F.col("page") - page_base).alias("page"), "_key")
         .agg(choose("level", "pos").alias("label"))
     )
-    joined = salted_join(rows.withColumn("_key", key("text")), per_key, ["doc_id", "page", "_key"], "left", salt=_unique(rows))
+    joined = rows.withColumn("_key", key("text")).join(per_key, ["doc_id", "page", "_key"], "left")
     return joined.withColumn("label", F.coalesce("label", F.lit(default))).drop("_key")
 
 
-def _unique(rows: DataFrame) -> str:
-    return next(c for c in ("block_idx", "line_idx", "page") if c in rows.columns)
-
-
 def label_last(rows: DataFrame, entries: DataFrame, page_base: int = 0, default: str = "BODY") -> DataFrame:
     """Adds the level of the last label with the row's trimmed text and page; `page_base` is the labels' first page."""
     return _match(rows, entries, F.max_by, page_base, False, default)

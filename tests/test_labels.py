@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliolens.operators import labels as lb
 from foliolens.operators import outline as ol
@@ -141,3 +142,35 @@ def test_sinks(spark, rows, tmp_path):
     sinks.write_outlines(outline, str(tmp_path / "each"), per_document=True)
     made = {f.name: json.loads(f.read_text()) for f in (tmp_path / "each").iterdir()}
     assert made == {"1.json": {"title": "é", "outline": [{"level": "H1", "text": "x", "page": 0}]}, "2.json": {"title": "", "outline": []}}
+
+
+def test_label_joins_repeat_nothing_and_split_hot_keys(spark):
+    """The label side is joined once; the rows of a line that is repeated on one page are split over tasks."""
+    hot = spark.range(60_000).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("page"), F.col("id").alias("line_idx"), F.lit("Again").alias("text"),
+        F.sha2(F.col("id").cast("string"), 512).alias("more"),
+    )
+    others = spark.range(3000).select(
+        (F.col("id") + 2).alias("doc_id"), F.lit(0).alias("page"), F.lit(0).cast("long").alias("line_idx"), F.concat(F.lit("t"), F.col("id")).alias("text"),
+        F.lit("").alias("more"),
+    )
+    lines = hot.unionByName(others).repartition(16)
+    entries = lines.where("line_idx = 0").select("doc_id", F.lit(0).alias("pos"), F.lit("H1").alias("level"), "text", "page")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lb.label_last(lines, entries)
+        counts = {r.label: r["count"] for r in joined.groupBy("label").count().collect()}
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert counts == {"H1": 63_000}
+    assert "SortMergeJoin(skew=true)" in plan and "Generate" not in plan
