@@ -99,6 +99,7 @@ def report_rows(configs: DataFrame, documents: DataFrame, sections: DataFrame) -
     config have an empty persona and job.  Entries keep null fields.
     """
     names = documents.select("collection", "doc_id", "document").distinct()
+    sections = cut(sections.withColumn("_row", F.monotonically_increasing_id()))  # tells repeated sections apart
     listed = names.join(sections.drop("collection"), "doc_id")
     persona = lookup_join(names.select("collection").distinct(), configs.select("collection", "persona", "job"), ["collection"], "left")
     keep = {"ignoreNullFields": "false"}
@@ -125,13 +126,11 @@ def report_rows(configs: DataFrame, documents: DataFrame, sections: DataFrame) -
         F.struct(*entry(SECTION, F.to_json(section, keep))),
         F.when(F.col("refined_text").isNotNull(), F.struct(*entry(ANALYSIS, F.to_json(analysis, keep)))),
     )
-    items = names.select("collection", F.lit(DOCUMENT).alias("kind"), "doc_id", no_place[1], _text(F.coalesce("document", F.lit(""))).alias("line")).unionByName(
-        listed.select("collection", "doc_id", "importance_rank", F.explode(F.array_compact(entries)).alias("e")).select(
-            "collection", "e.kind", "doc_id", "importance_rank", "e.line"
-        )
-    )
+    no_row = F.lit(None).cast("long").alias("_row")
+    listed_names = names.select("collection", F.lit(DOCUMENT).alias("kind"), "doc_id", no_place[1], no_row, _text(F.coalesce("document", F.lit(""))).alias("line"))
+    found = listed.select("collection", "doc_id", "importance_rank", "_row", F.explode(F.array_compact(entries)).alias("e"))
+    items = listed_names.unionByName(found.select("collection", "e.kind", "doc_id", "importance_rank", "_row", "e.line"))
     # All entries of a list but its first one follow a comma; the firsts are three rows per collection.
-    items = cut(items.withColumn("_row", F.monotonically_increasing_id()))
     order = F.struct("doc_id", "importance_rank", "line", "_row")
     firsts = items.groupBy("collection", "kind").agg(F.min(order).alias("_first"))
     marked = lookup_join(items, firsts, ["collection", "kind"], "inner", salt="doc_id")
