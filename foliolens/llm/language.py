@@ -99,7 +99,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def _featurise(batches):
     for rows, offsets, data in chunks(batches, most=ROWS):
         x = features(offsets, data).astype(np.float16)
-        yield pa.RecordBatch.from_arrays([rows.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
+        some = [np.flatnonzero(r).astype(np.uint16) for r in x]  # most buckets of a text are empty
+        packed = [at.tobytes() + r[at].tobytes() for at, r in zip(some, x)]
+        yield pa.RecordBatch.from_arrays([rows.column("lang"), pa.array(packed, pa.binary())], ["lang", "x"])
+
+
+def _unpacked(rows: list[bytes], buckets: int = BUCKETS) -> np.ndarray:
+    x = np.zeros((len(rows), buckets), np.float32)
+    for row, packed in zip(x, rows):
+        half = len(packed) // 2
+        row[np.frombuffer(packed[:half], np.uint16)] = np.frombuffer(packed[half:], np.float16)
+    return x
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE):
@@ -116,13 +126,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     chosen = known.filter("doc_id is not null").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each)
     ids = F.broadcast(chosen.select("doc_id").distinct())  # at most `sample` rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").filter("lang is not null").join(ids, "doc_id")
-    rows = texts.select("lang", "text").mapInArrow(_featurise, "lang string, x binary").collect()
+    rows = sorted((r["lang"], bytes(r["x"])) for r in texts.select("lang", "text").mapInArrow(_featurise, "lang string, x binary").collect())
     if not rows:
         return [], None
-    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
     code = codewords(len(languages))
-    w, trust = train(x, np.array([languages.index(r["lang"]) for r in rows]), code)
+    w, trust = train(_unpacked([x for _, x in rows]), np.array([languages.index(lang) for lang, _ in rows]), code)
     return languages, (w, code, trust)
 
 
