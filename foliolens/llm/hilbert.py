@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliolens.llm.store import ranked
+from foliolens.llm.store import ranked, stage, targets
 
 BITS = 4
 
@@ -41,10 +44,30 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _ordinal(column: str) -> Column:
-    """Text as a number that keeps the order of its first seven bytes; null is lowest."""
-    head = F.rpad(F.hex(F.substring(F.col(column).cast("string"), 1, 7)).substr(1, 14), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
+def _text_cuts(rows: DataFrame, column: str, steps: list[float]) -> list[str | None]:
+    """Quantiles of a text column over all rows, by whole values: nulls are lowest, and a value is weighed by its rows.
+
+    Distinct values are counted, dealt to tasks by range, and only the tasks in which a quantile falls are looked into.
+    """
+    counted = stage(rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")), f"{column}-counts")
+    dealt = counted.repartitionByRange(targets(counted), column).withColumn("_part", F.spark_partition_id())
+    dealt = stage(dealt, f"{column}-ranges")
+    parts = dealt.groupBy("_part").agg(F.sum("n").alias("n")).orderBy("_part").collect()  # a row per task
+    total, before, wanted = sum(r["n"] for r in parts), 0, []
+    for r in parts:
+        places = {max(1, math.ceil(step * total)) - before for step in steps}
+        wanted += [(r["_part"], place) for place in places if 0 < place <= r["n"]]
+        before += r["n"]
+    if not wanted:
+        return []
+    up_to = F.sum("n").over(W.partitionBy("_part").orderBy(column))
+    inside = dealt.filter(F.col("_part").isin(sorted({part for part, _ in wanted}))).withColumn("_up", up_to)
+    hit = F.expr(" or ".join(f"(_part = {part} and _up >= {place} and _up - n < {place})" for part, place in wanted))
+    return [r[column] for r in inside.filter(hit).select(column).collect()]
+
+
+def _above(column: str, cut: str | float | None) -> Column:
+    return F.col(column).isNotNull() if cut is None else F.col(column) > F.lit(cut)
 
 
 def _curve(dimensions: int, bits: int, fields: list[str]):
@@ -60,29 +83,32 @@ def _curve(dimensions: int, bits: int, fields: list[str]):
 def hilbert_shards(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataFrame:
     """Deal documents to shards along a Hilbert curve over language, source and text size.
 
-    Each dimension is quantised at quantiles of all rows (2^bits cells at most), so that a dense range gets more cells.
-    Rows are sorted by curve index, then by a checksum of the text and doc_id, and cut into runs of equal row counts:
-    neighbours on the curve share a shard, so its files cover narrow ranges of all dimensions, and equal texts of one cell stay together.
+    Each dimension is quantised at quantiles of all rows (2^bits cells at most), so that a dense range gets more cells; languages and
+    sources are compared as whole values.  Rows are sorted by curve index, then by a checksum of the text and doc_id, and cut into runs of equal
+    row counts: neighbours on the curve share a shard, so its files cover narrow ranges of all dimensions.  Equal texts of one cell
+    are next to each other; those of different languages or sources may lie in different shards, as may a group that a cut falls into.
 
     Returns a row per input row: doc_id, size (UTF-8 bytes plus 1), text_crc32, law (`rows`: counts are at most one apart), shard, slot (from 0,
     without gaps), grown_shard (null), curve.  Null text has size 1 and checksum 0; null languages and sources are lowest;
-    repeated rows take places of their own; an empty table gives no rows.  Texts are not shuffled.
+    repeated rows take places of their own and ties on all three sort keys any order; an empty table gives no rows; other columns are ignored.
+    Texts of any length are only measured, never shuffled.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        _ordinal("lang").alias("_d0"),
-        _ordinal("source").alias("_d1"),
+        F.col("lang").cast("string").alias("_d0"),
+        F.col("source").cast("string").alias("_d1"),
         F.log2((F.octet_length(text) + 1).cast("double")).alias("_d2"),
     )
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = rows.agg(*(F.percentile_approx(f"_d{i}", steps, 1000).alias(f"_d{i}") for i in range(3))).first()
+    sizes = rows.agg(F.percentile_approx("_d2", steps, 1000)).first()[0] or []
+    cuts = [_text_cuts(rows, "_d0", steps), _text_cuts(rows, "_d1", steps), sorted(set(sizes))]
     cell = [
-        sum((F.when(F.col(f"_d{i}") > F.lit(float(c)), 1).otherwise(0) for c in sorted(set(cuts[i] or []))), F.lit(0)).cast("int").alias(f"_c{i}")
-        for i in range(3)
-    ]
+        sum((F.when(_above(f"_d{i}", c), 1).otherwise(0) for c in found), F.lit(0)).cast("int").alias(f"_c{i}")
+        for i, found in enumerate(cuts)
+    ]
     fields = ["doc_id", "size", "text_crc32"]
     schema = "doc_id long, size long, text_crc32 long, curve long"
     curved = rows.select(*fields, *cell).mapInArrow(_curve(3, bits, fields), schema)

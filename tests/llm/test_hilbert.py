@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import itertools
+import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 
-from foliolens.llm.hilbert import curve_index, hilbert_shards, write_shards
+from foliolens.llm.hilbert import _text_cuts, curve_index, hilbert_shards, write_shards
 from foliolens.llm.queries import QUERIES
 from tests.conftest import FOLDER
 
@@ -54,3 +56,25 @@ def test_files_hold_the_documents_in_order(spark, rows, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_id, r.text) for r in back.collect()) == [(i, "t" * i) for i in range(50)]
     assert Counter(r.shard for r in back.collect()) == {0: 13, 1: 12, 2: 13, 3: 12}
+
+
+def test_sources_with_a_long_common_beginning_are_told_apart(rows):
+    made = [(i, "t", "en", f"https://www.example.org/a/{i * 37 % 320:04d}") for i in range(320)]
+    got = hilbert_shards(rows("doc_id long, text string, lang string, source string", made)).collect()
+    check([(d, t) for d, t, _, _ in made], got)
+    sources = defaultdict(list)
+    for r in got:
+        sources[r.shard].append(made[r.doc_id][3])
+    ranges = sorted((min(v), max(v)) for v in sources.values())
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # each shard's file covers sources of its own
+
+
+def test_text_quantiles_weigh_values_by_their_rows(rows):
+    draw = random.Random(3)
+    values = draw.choices([None, "a", "https://b", "https://c", "é"] + [f"https://u/{i}" for i in range(30)], weights=[8, 30, 3, 1, 5] + [1] * 30, k=600)
+    steps = [i / 16 for i in range(1, 16)]
+    ordered = sorted(values, key=lambda v: (v is not None, (v or "").encode()))
+    want = {ordered[math.ceil(s * len(values)) - 1] for s in steps}
+    got = _text_cuts(rows("v string, n int", [(v, 0) for v in values]), "v", steps)
+    assert len(got) == len(want) and set(got) == want
+    assert _text_cuts(rows("v string", []), "v", steps) == []
