@@ -115,20 +115,27 @@ def _unpacked(rows: list[bytes], buckets: int = BUCKETS) -> np.ndarray:
 def fit(docs: DataFrame, sample: int = SAMPLE):
     """Learn languages, codewords and classifiers from a bounded sample of the rows that are not held out.
 
-    The same number of rows is taken for each language, those of the smallest hash of doc_id, so the sample does not depend on the layout.
+    The same number of documents is taken for each language, those of the smallest hash of doc_id, so the sample does not depend on
+    the layout.  The number of a language's rows bounds the hashes that can be among them, so no more than about twice as many are ordered,
+    however many rows the language has.  Beyond `sample` languages those with the most rows are learned (ties: the first by name).
+    Of rows with equal doc_id and language the smallest text counts; rows without doc_id or language are not learned from.
     """
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").filter(F.col("lang").isNotNull() & ~held_out())
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
+    known = known.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
+    languages = sorted(r["lang"] for r in counts)
     if not languages:
         return [], None
     each = max(1, sample // len(languages))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.filter("doc_id is not null").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each)
-    ids = F.broadcast(chosen.select("doc_id").distinct())  # at most `sample` rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").filter("lang is not null").join(ids, "doc_id")
+    highest = [(r["lang"], min((1 << 63) - 1, -(1 << 63) + (2 * each + 64 << 64) // r["n"])) for r in counts]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(highest, "lang string, _highest long"))  # at most `sample` rows
+    small = known.withColumn("_hash", F.xxhash64("doc_id")).join(bounds, "lang").filter("_hash <= _highest")
+    order = W.partitionBy("lang").orderBy("_hash", "doc_id")
+    chosen = small.select("lang", "doc_id", "_hash").distinct().withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each)
+    ids = F.broadcast(chosen.select("doc_id", "lang"))  # at most `sample` rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(ids, ["doc_id", "lang"])
+    texts = texts.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     rows = sorted((r["lang"], bytes(r["x"])) for r in texts.select("lang", "text").mapInArrow(_featurise, "lang string, x binary").collect())
-    if not rows:
-        return [], None
     code = codewords(len(languages))
     w, trust = train(_unpacked([x for _, x in rows]), np.array([languages.index(lang) for lang, _ in rows]), code)
     return languages, (w, code, trust)
@@ -159,7 +166,8 @@ def identify(docs: DataFrame, model, added: tuple[str, str, str] = ("lang_pred",
     Each bit of a language's codeword is predicted by a linear classifier over byte 1- to 3-grams; decoding takes the codeword
     of the least loss, with losses weighted by how far each bit can be trusted for each language.  Only `text` is read.
     Texts that are null or have no letter get `und`, score 0, ambiguous; so does every text where there was nothing to learn from.
-    Rows keep their columns and number; an empty table gives no rows.
+    Of equally near languages the first by name is taken, flagged ambiguous.  Whole texts are read, of any length.
+    Rows keep their columns and number; repeated rows are each judged; an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = extended(docs, **dict(zip(added, ("string", "double", "boolean"))))

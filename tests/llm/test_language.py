@@ -60,3 +60,16 @@ def test_nothing_to_learn_from(rows):
 def test_one_language(rows):
     docs = rows("doc_id long, text string, lang string", [(i, "some text", "en") for i in range(30)])
     assert {r.lang_pred for r in language.identify(docs, language.fit(docs)).collect()} == {"en"}
+
+
+def test_a_language_of_nine_tenths_repeated_rows_and_many_languages(rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda x, classes, code: seen.append(np.bincount(classes)) or (None, None))
+    schema = "doc_id long, text string, lang string, _hash int, n int"
+    made = [(i, f"text {i}", "en" if i % 10 else "de", 0, 0) for i in range(4000)] + [(7, "again", "en", 0, 0)] * 500 + [(None, "t", "en", 0, 0)]
+    assert language.fit(rows(schema, made), 100)[0] == ["de", "en"]
+    assert list(seen.pop()) == [50, 50]
+    many = [(i, "text", f"l{i % 300:03d}", 0, 0) for i in range(3000)] + [(9000 + i, "text", "l299", 0, 0) for i in range(50)]
+    languages = language.fit(rows(schema, many), 100)[0]
+    assert len(languages) == 100 and "l299" in languages and len(seen.pop()) == 100
+    assert language.fit(rows(schema, []), 100) == ([], None)
