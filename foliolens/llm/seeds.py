@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.llm.kernels import chunks, lower, mix, ranges, word_hashes, words
-from foliolens.llm.store import fresh
+from foliolens.llm.store import fresh, stage
 
 #: Words compared are marked 1, ignored ones 0.  Together these find every window of 8 to 20 words of which a fifth is replaced.
 MASKS = ("1111", "11011")
 WINDOW = 20
 TOLERANCE = 0.2
+#: So many words in a row that are all equal count in any item; at an edge of the document, windows may be cut off down to this.
+RUN = 13
 #: Shorter items say too little to be told from ordinary text.
 SHORTEST = 8
 #: Benchmark words in one block, which bounds what is broadcast at a time.
@@ -23,6 +25,8 @@ BLOCK_WORDS = 2_000_000
 HITS = "array<struct<item_id:bigint,first:bigint,end:bigint>>"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FILTER = 1 << 20
+#: Places of the benchmark laid against places of documents at a time.
+_LAID = 1 << 20
 
 
 def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
@@ -69,36 +73,66 @@ class Items:
 
     def overlaps(self, tokens: np.ndarray, first: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
         """Row -> (item, first word, end word) of every verified overlap; `first` has the first word of each row and the end."""
-        lines = []
-        for m, (hashes, owners, places, some) in self.seeds.items():
+        at, low, high, places_of = [], [], [], []
+        for m, (hashes, _, _, some) in self.seeds.items():
             found = seed_hashes(tokens, m)
-            at = np.flatnonzero(some[(found % np.uint64(_FILTER)).astype(np.int64)])
-            low, high = np.searchsorted(hashes, found[at], "left"), np.searchsorted(hashes, found[at], "right")
-            which = ranges(low, high - low)
-            at = np.repeat(at, high - low)
-            row = np.searchsorted(first, at, "right") - 1
-            inside = at + len(m) <= first[row + 1]
-            lines.append(np.stack([row, owners[which], at - places[which]], axis=1)[inside])
-        found: dict[int, list[tuple[int, int, int]]] = {}
-        if lines:
-            for row, item, begin in np.unique(np.concatenate(lines), axis=0):
-                for a, b in self.verify(tokens, int(first[row]), int(first[row + 1]), int(item), int(begin)):
-                    found.setdefault(int(row), []).append((self.ids[item], a - int(first[row]), b - int(first[row])))
-        return found
+            maybe = np.flatnonzero(some[(found % np.uint64(_FILTER)).astype(np.int64)])
+            maybe = maybe[maybe + len(m) <= first[np.searchsorted(first, maybe, "right")]]
+            at.append(maybe)
+            low.append(np.searchsorted(hashes, found[maybe], "left"))
+            high.append(np.searchsorted(hashes, found[maybe], "right"))
+            places_of.append(np.full(len(maybe), len(places_of)))
+        spans: dict[int, set[tuple[int, int, int]]] = {}
+        if at:
+            at, low, high, kind = (np.concatenate(p) for p in (at, low, high, places_of))
+            order = np.lexsort((kind, at))
+            for part in np.split(order, self._steps((high - low)[order])):
+                for row, item, begin in self._alignments(at[part], low[part], high[part], kind[part], first):
+                    for a, b in self.verify(tokens, int(first[row]), int(first[row + 1]), int(item), int(begin)):
+                        spans.setdefault(int(row), set()).add((int(item), a - int(first[row]), b - int(first[row])))
+        return {row: [(self.ids[i], a, b) for i, a, b in sorted(found)] for row, found in spans.items()}
+
+    @staticmethod
+    def _steps(counts: np.ndarray) -> np.ndarray:
+        """Where to cut places so that those between two cuts meet about _LAID places of items, however frequent a seed is."""
+        return np.flatnonzero(np.diff(np.cumsum(counts) // _LAID)) + 1
+
+    def _alignments(self, at, low, high, kind, first) -> np.ndarray:
+        """Distinct (row, item, place of the item's first word) that the seeds at some places propose."""
+        found = [np.zeros((0, 3), np.int64)]
+        for k, (_, owners, places, _) in enumerate(self.seeds.values()):
+            mine = kind == k
+            count = (high - low)[mine]
+            which, where = ranges(low[mine], count), np.repeat(at[mine], count)
+            row = np.searchsorted(first, where, "right") - 1
+            found.append(np.stack([row, owners[which], where - places[which]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def verify(self, tokens: np.ndarray, start: int, end: int, item: int, begin: int) -> list[tuple[int, int]]:
-        """Maximal runs of words covered by windows that agree in at least four fifths, with the item's first word at `begin`."""
+        """Maximal runs of words covered by windows that count, with the item's first word at `begin`."""
         words_ = self.tokens[item]
         length = min(WINDOW, len(words_))
         low, high = max(start, begin), min(end, begin + len(words_))
-        if high - low < length:
+        size = high - low
+        if size < min(length, RUN):
             return []
         same = np.append(0, np.cumsum(tokens[low:high] == words_[low - begin : high - begin]))
-        good = np.flatnonzero(same[length:] - same[:-length] >= length - math.floor(TOLERANCE * length + 1e-9))
-        if not len(good):
-            return []
-        cut = np.flatnonzero(np.diff(good) > length)
-        return [(low + int(good[a]), low + int(good[b]) + length) for a, b in zip(np.append(0, cut + 1), np.append(cut, len(good) - 1))]
+        change = np.zeros(size + 1, np.int64)
+        for n, need in ((length, length - math.floor(TOLERANCE * length + 1e-9)), (RUN, RUN)):
+            if n <= min(size, length):
+                good = np.flatnonzero(same[n:] - same[:-n] >= need)
+                change[good] += 1
+                change[good + n] -= 1
+        for n in range(RUN, min(length, size + 1)):
+            need = max(RUN, n - math.floor(TOLERANCE * n + 1e-9))
+            if begin < start and same[n] >= need:
+                change[0] += 1
+                change[n] -= 1
+            if begin + len(words_) > end and same[size] - same[size - n] >= need:
+                change[size - n] += 1
+                change[size] -= 1
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(change[:-1]) > 0, [0]])))
+        return [(low + int(a), low + int(b)) for a, b in zip(edges[::2], edges[1::2])]
 
 
 def _search(block, names: list[str], column: str):
@@ -122,11 +156,14 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, column: str, block_word
     """Add the overlaps of each document with benchmark items: an array of (item_id, first word, end word).
 
     Words are maximal runs of [^\\x20\\x09-\\x0D], with A-Z lower-cased.  A document overlaps an item where, at one
-    alignment, a window of min(20, words of the item) words has at most a fifth of its words replaced.  The fixed masks
-    of the seeds ignore some positions, so that every such window has a hit; overlaps around hits are verified word by word.
-
-    The benchmark is broadcast in blocks of bounded size; documents stream past one block after the other and are never
-    shuffled.  Null and empty texts have no overlaps; items of fewer than 8 words, null items and empty benchmarks match nothing;
+    alignment, a window of min(20, words of the item) words has at most a fifth of its words replaced, or 13 words in a row are equal.
+    Where an item goes on beyond the first or last word of the document, windows there may be cut off to 13 words or more, of which 13 and four fifths
+    must be equal.  The fixed masks of the seeds ignore some positions, so that every such window has a hit; overlaps around hits
+    are verified word by word.
+
+    The benchmark is searched in blocks, one after the other: each is read and broadcast by itself, and dropped once its hits are written.
+    Documents are never shuffled; with one block they are not written either.  Null and empty texts have no overlaps; texts of any
+    length are searched whole; items of fewer than 8 words, null items and empty benchmarks match nothing;
     repeated items are each reported; repeated rows are each searched; other columns are kept.
     """
     spark, names = docs.sparkSession, docs.columns
@@ -138,6 +175,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, column: str, block_word
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         sent = spark.sparkContext.broadcast(([r["item_id"] for r in part], [r["text"] for r in part]))
         out = out.mapInArrow(_search(sent, names, column), out.schema)
+        if block < blocks - 1:
+            out = stage(out, "searched")
+            sent.destroy()
     return out
 
 

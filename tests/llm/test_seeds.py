@@ -5,8 +5,12 @@ import math
 import random
 import re
 
+import numpy as np
+
+from foliolens.llm import seeds
+from foliolens.llm.kernels import word_hashes, words
 from foliolens.llm.queries import QUERIES
-from foliolens.llm.seeds import MASKS, SHORTEST, TOLERANCE, WINDOW, decontaminate, find_overlaps
+from foliolens.llm.seeds import Items, MASKS, SHORTEST, TOLERANCE, WINDOW, decontaminate, find_overlaps
 from tests.conftest import FOLDER
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -23,11 +27,24 @@ def brute(text, item):
         return spans
     n = min(WINDOW, len(b))
     need = n - math.floor(TOLERANCE * n + 1e-9)
-    for shift in range(n - len(b), len(a) - n + 1):
+    for shift in range(1 - len(b), len(a)):
         covered = set()
-        for i in range(max(0, shift), min(len(a), shift + len(b)) - n + 1):
-            if sum(a[i + k] == b[i + k - shift] for k in range(n)) >= need:
-                covered |= set(range(i, i + n))
+        low_, high = max(0, shift), min(len(a), shift + len(b))
+        same = [a[i] == b[i - shift] for i in range(low_, high)]
+
+        def cover(i, k, need):
+            if i >= 0 and i + k <= len(same) and sum(same[i : i + k]) >= need:
+                covered.update(range(low_ + i, low_ + i + k))
+
+        for i in range(len(same)):
+            cover(i, n, need)
+            if n >= 13:
+                cover(i, 13, 13)
+        for k in range(13, n):
+            if shift < 0:
+                cover(0, k, max(13, math.ceil(0.8 * k - 1e-9)))
+            if shift + len(b) > len(a):
+                cover(len(same) - k, k, max(13, math.ceil(0.8 * k - 1e-9)))
         for _, run in itertools.groupby(enumerate(sorted(covered)), lambda x: x[1] - x[0]):
             run = [x for _, x in run]
             spans.append((run[0], run[-1] + 1))
@@ -68,10 +85,52 @@ def test_replaced_words_against_brute_force(rows):
     assert clean.columns == ["doc_id", "text", "hits"]
 
 
+def numbered(a, b):
+    return [f"n{i}" for i in range(a, b)]
+
+
+def test_runs_of_thirteen_and_windows_at_the_edges(rows):
+    other = [f"x{i}" for i in range(40)]
+    changed = [w if i != 7 else "other" for i, w in enumerate(numbered(80, 94))]
+    docs = [
+        other + numbered(30, 43) + other,  # a run of 13 words of a longer item
+        other + numbered(30, 42) + other,  # 12 words
+        changed + other,  # 13 of 14 words at the start of the document
+        other + changed,  # at its end
+        other + changed + other,  # the same inside
+        numbered(0, 14) + ["more"] * 3,  # the start of the item is no cut
+    ]
+    frame = rows("doc_id long, text string", [(i, " ".join(d)) for i, d in enumerate(docs)])
+    item = " ".join(numbered(0, 100))
+    got = {r.doc_id: [(h.first, h.end) for h in r.hits] for r in find_overlaps(frame, rows("item_id long, text string", [(1, item)]), "hits").collect()}
+    assert got == {0: [(40, 53)], 1: [], 2: [(0, 16)], 3: [(38, 54)], 4: [], 5: [(0, 17)]}  # a fifth of a window may differ
+    assert got == {i: [s for s in brute(" ".join(d), item)] for i, d in enumerate(docs)}
+
+
+def test_a_seed_that_is_in_every_item(rows, monkeypatch):
+    phrase = "what is the answer"
+    own = lambda i: " ".join(f"q{i}x{j}" for j in range(8))
+    items = [(i, f"{phrase} {own(i)}") for i in range(300)] + [(5, f"{phrase} {own(5)}")]
+    docs = [(1, f"{phrase} " * 500), (2, f"so {phrase} {own(17)} then"), (3, f"{phrase} nothing else {phrase} {own(5)}")]
+    bench = rows("item_id long, text string", items)
+    frame = rows("doc_id long, text string", docs)
+    whole = {r.doc_id: [tuple(h) for h in r.hits] for r in find_overlaps(frame, bench, "hits").collect()}
+    assert whole == {1: [], 2: [(17, 1, 13)], 3: [(5, 6, 18)] * 2}
+    parts = Items([i for i, _ in items], [t for _, t in items])
+    words_ = low(docs[1][1])
+    raw = np.frombuffer(" ".join(words_).encode(), np.uint8)
+    starts, ends, first = words(np.array([0, len(raw)]), raw)
+    tokens = word_hashes(raw, starts, ends)
+    found = parts.overlaps(tokens, first)
+    monkeypatch.setattr(seeds, "_LAID", 50)  # many small steps give the same
+    assert parts.overlaps(tokens, first) == found == {0: whole[2]}
+
+
 def test_empty_tables(rows):
     docs, bench = rows("doc_id long, text string", [(1, "a " * 50)]), rows("item_id long, text string", [])
     assert [r.hits for r in find_overlaps(docs, bench, "hits").collect()] == [[]]
     assert find_overlaps(docs.limit(0), bench, "hits").collect() == []
+    assert find_overlaps(docs.limit(0), rows("item_id long, text string", [(1, "a " * 9)]), "hits").collect() == []
 
 
 def test_whole_table(spark):
