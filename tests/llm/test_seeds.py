@@ -145,3 +145,13 @@ def test_whole_table(spark):
         if got[d.doc_id].contaminated:
             assert got[d.doc_id].longest >= SHORTEST and got[d.doc_id].item_ids
     assert 0 < sum(r.contaminated for r in got.values()) < len(docs) / 4
+
+
+def test_a_text_longer_than_a_chunk(rows):
+    item = numbered(0, 40)
+    long_ = ["filler"] * 300_000
+    docs = [(1, " ".join(long_ + item)), (2, " ".join(item + long_)), (3, " ".join(long_)), (1, " ".join(long_ + item)), (None, " ".join(item))]
+    got = find_overlaps(rows("doc_id long, text string", docs), rows("item_id long, text string", [(9, " ".join(item))]), "hits")
+    at = [(r.doc_id, [(h.first, h.end) for h in r.hits]) for r in got.collect()]
+    assert sorted(h for d, h in at if d == 1) == [[(300_000, 300_040)]] * 2
+    assert sorted((d or 0, h) for d, h in at if d != 1) == [(0, [(0, 40)]), (2, [(0, 40)]), (3, [])]
