@@ -410,20 +410,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     runs = signed.filter("target is not null").select("target", "blob").repartition(pieces, "target")
     groups = stage(runs.groupBy("target").applyInArrow(_match, MATCHED), "groups")
     stars = groups.filter("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
-    links = stage(verified(stars, sets), "links")
-    found = stage(components(links), "components")
+    found = stage(components(verified(stars, sets)), "components")
     # Groups that fall into several components: other pairs that signatures allow, the nearest first, then all that are left.
     bits = sets.select(F.col("doc_id").alias("doc"), "n", "bits")
     several = _placed(groups.filter("more").select("gid", "doc", "role").distinct(), found)
     several = several.join(_open(several).select("gid"), "gid").select("gid", "doc", "role")
     loose = stage(several.join(bits, "doc"), "loose")
-    for every in [False] * NEAREST_ROUNDS + [True]:
-        more = stage(verified(remaining(loose, found, every), sets), "more-links")
-        if not more.isEmpty():
-            links = stage(links.unionByName(more), "links")
-            found = stage(components(links), "components")
-    final = found
-    class_of = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    nearest = NEAREST_ROUNDS
+    while not _open(_placed(loose, found)).isEmpty():
+        more = stage(verified(remaining(loose, found, nearest == 0), sets), "more-links")
+        grown = not more.isEmpty()
+        if grown:
+            found = stage(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
+        if nearest == 0:
+            break
+        # A round without new links would only repeat itself.
+        nearest = nearest - 1 if grown else 0
+    class_of = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return documents.join(class_of, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
