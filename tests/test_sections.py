@@ -181,3 +181,15 @@ def test_flow_gives_top_sections_of_every_document(rows):
     configs = rows("collection string, persona string, job string", [("c0", "the", "beta"), ("c1", "gamma", "")])
     best = ranking_flow.best_sections(sections, configs).groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in best} == {d: min(5, sum(r[0] == d for r in data)) for d in {r[0] for r in data}}
+
+
+def test_the_tasks_of_postings_grow_with_the_text(rows, monkeypatch):
+    monkeypatch.setattr(rv, "BYTES_PER_TASK", 2_000, raising=False)
+    text = " ".join(f"word{i}" for i in range(100))
+    sections = rows("doc_id long, section_idx int, text string", [(d, 0, text) for d in range(200)] + [(200, 0, None)])
+    weights = rv.term_weights(sections).select("doc_id", F.spark_partition_id().alias("task")).distinct().collect()
+    held = {}
+    for r in weights:
+        held.setdefault(r["task"], set()).add(r["doc_id"])
+    assert {d for h in held.values() for d in h} == set(range(201))
+    assert max(len(h) for h in held.values()) < 20
