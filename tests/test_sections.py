@@ -193,3 +193,19 @@ def test_the_tasks_of_postings_grow_with_the_text(rows, monkeypatch):
         held.setdefault(r["task"], set()).add(r["doc_id"])
     assert {d for h in held.values() for d in h} == set(range(201))
     assert max(len(h) for h in held.values()) < 20
+
+
+def test_sections_joined_to_vectors_are_written_once(rows, monkeypatch):
+    """What comes of a join of text and vectors is read several times, so it is kept with the cosine in place of the vectors."""
+    kept, cut = [], rv.cut
+
+    def noted(table):
+        kept.append(table.columns)
+        return cut(table)
+
+    monkeypatch.setattr(rv, "cut", noted)
+    sections = rows("doc_id long, section_idx int, c string, text string, embedding array<double>", [(1, 0, "a", "two words", [1.0, 0.0]), (1, 1, "a", None, [3.0, 4.0])])
+    asked = rows("c string, query string, vector array<double>", [("a", "x", [1.0, 0.0])])
+    scored = {r.section_idx: r for r in rv.section_scores(sections, asked, ["c"]).collect()}
+    assert ["doc_id", "section_idx", "c", "text", "_between"] in kept
+    assert scored[0].cosine == 1.0 and scored[1].cosine == pytest.approx(0.6) and scored[1].lexical == 0.0
