@@ -18,12 +18,12 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.operators.blocked import Saved, blocks, total
+from foliolens.operators.blocked import Saved, blocks, by_bucket, total
 from foliolens.plans.lineage import cut, shared_folder
 from foliolens.plans.shipping import by_value
 
-#: Entries of the word-by-row matrix that are worked on together.
-PIECE = 200_000
+#: Entries of the word-by-row matrix that are worked on together: few enough for their products with the weights to stay in a core's cache.
+PIECE = 8_000
 WEIGHTS = ["words", "layout", "bias", "out", "out_bias"]
 
 
@@ -93,11 +93,12 @@ def gradient(sent):
             share[rows, labels[a:b]] -= 1
             share[back_held] = 0
             back = (share @ weights[3].T) * (inside > 0)
-            order = np.argsort(ids, kind="stable")
             if len(ids):
-                per_entry = back[np.repeat(rows, np.diff(begin))] * values[:, None]
-                starts = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
-                slopes[0][ids[order][starts]] += np.add.reduceat(per_entry[order], starts, axis=0)
+                order = by_bucket(ids, len(weights[0]))
+                ordered, of_row = ids[order], np.repeat(rows, np.diff(begin))[order]
+                starts = np.flatnonzero(np.append(True, np.diff(ordered) != 0))
+                per_entry = back.astype(weights[0].dtype)[of_row] * values[order, None]
+                slopes[0][ordered[starts]] += np.add.reduceat(per_entry, starts, axis=0)
             slopes[1] += layout[a:b].T @ back
             slopes[2] += back.sum(axis=0)
             slopes[3] += active.T @ share

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from foliolens.catalog import learning as le
 from foliolens.catalog.base import Tables
+from foliolens.operators import blocked
 from foliolens.operators import lines as ln
 from foliolens.operators import network as nw
 from foliolens.operators import training as tr
@@ -141,3 +142,17 @@ def test_guessing_is_not_enough(rows):
     classes = [("a", 0.0, 0.0, 0.0, 90), ("b", 0.0, 0.0, 0.0, 10)]
     for accuracy, want in ((0.9, False), (0.905, False), (0.911, True)):
         assert le.better_than_guessing(rows(schema, [*classes, ("accuracy", accuracy, accuracy, accuracy, 100)])) is want
+
+
+def test_sums_over_blocks_keep_to_one_array_and_pieces_to_a_cache():
+    """One table of the size of the weights per task, and products of a piece with 64 weights of four bytes in 4 MB at most."""
+    random = np.random.default_rng(2)
+    a, b = [random.random((4, 3)), random.random(2)], [random.random((4, 3)), random.random(2)]
+    expected, kept = [x + y for x, y in zip(a, b)], a[0]
+    added = blocked._add(a, b)
+    assert all((x == y).all() for x, y in zip(added, expected)) and added[0] is kept
+    assert blocked._add(None, b) is b and blocked._add(a, None) is a
+    assert nw.PIECE * 64 * 4 <= 4 << 20
+    for buckets in (1 << 14, 1 << 20):
+        ids = random.integers(0, buckets, 5000).astype(np.int32)
+        assert (blocked.by_bucket(ids, buckets) == np.argsort(ids, kind="stable")).all()
