@@ -6,9 +6,11 @@ returns to the driver depends on the shape of the trees alone, never on the numb
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol
@@ -21,6 +23,10 @@ from foliolens.plans.shipping import by_value
 
 #: Rounds between writes of the scores to the shared folder, which bounds what a lost executor costs.
 KEEP_EVERY = 16
+#: Rows that a task puts into one histogram at a time.
+ROWS_PER_SUM = 1 << 15
+#: Histograms of all tasks that the driver may add up itself.
+SMALL_BYTES = 4 << 20
 LEAF = -1
 
 
@@ -46,19 +52,20 @@ class Trees:
 
     def nodes(self, bins: np.ndarray, steps: int) -> np.ndarray:
         """The node of each row in each class's tree after so many steps down; rows at a leaf stay there."""
-        rows = np.arange(len(bins))
+        rows, flat = np.arange(len(bins)), bins.ravel(order="F")
         out = np.zeros((len(self.feature), len(bins)), np.int64)
         for k, at in enumerate(out):
-            for _ in range(steps):
-                f = self.feature[k, at]
-                down = 2 * at + 1 + (bins[rows, np.maximum(f, 0)] > self.border[k, at])
-                at[:] = np.where(f == LEAF, at, down)
+            leaf, column = self.feature[k] == LEAF, np.maximum(self.feature[k], 0).astype(np.int64) * len(bins)
+            for step in range(steps):
+                down = 2 * at + 1
+                down += flat.take(column.take(at) + rows) > self.border[k].take(at)
+                at[:] = np.where(leaf.take(at), at, down) if leaf[: (2 << step) - 1].any() else down
         return out
 
     def add_to(self, scores: np.ndarray, bins: np.ndarray) -> np.ndarray:
         depth = (self.feature.shape[1] + 1).bit_length() - 2
         at = self.nodes(bins, depth)
-        return scores + np.stack([self.value[k, at[k]] for k in range(len(at))], axis=1)
+        return scores + np.stack([self.value[k].take(at[k]) for k in range(len(at))]).T
 
 
 def histogram(trees: Trees, level: int, widths: int):
@@ -67,18 +74,24 @@ def histogram(trees: Trees, level: int, widths: int):
     def of(block) -> np.ndarray:
         bins, labels, scores = block
         classes, (rows, features) = scores.shape[1], bins.shape
-        share = softmax(scores)
-        slope = share - (labels[:, None] == np.arange(classes))
+        raised = np.exp((scores - scores.max(axis=1, keepdims=True)).T)
+        share = raised / raised.sum(axis=0)
+        slope = share - (labels == np.arange(classes)[:, None])
         curve = np.maximum(2 * share * (1 - share), 1e-16)
         first, count = (1 << level) - 1, 1 << level
         out = np.zeros((2, classes, count, features, widths))
         at = trees.nodes(bins, level) - first
+        columns = np.ascontiguousarray(bins.T)
         for k in range(classes):
-            here = at[k] >= 0  # others stopped at a leaf above
+            here, mine, weights = at[k], columns, (slope[k], curve[k])
+            if level and here.min(initial=0) < 0:  # some stopped at a leaf above
+                kept = np.flatnonzero(here >= 0)
+                here, mine, weights = here[kept], columns[:, kept], (slope[k, kept], curve[k, kept])
+            node = here * widths
             for f in range(features):
-                cell = at[k, here] * widths + bins[here, f]
-                for i, weight in enumerate((slope, curve)):
-                    out[i, k, :, f] = np.bincount(cell, weight[here, k], count * widths).reshape(count, widths)
+                cell = node + mine[f]
+                for i, weight in enumerate(weights):
+                    out[i, k, :, f] = np.bincount(cell, weight, count * widths).reshape(count, widths)
         return out
 
     return of
@@ -114,11 +127,28 @@ def grow(trees: Trees, level: int, sums: np.ndarray, last: bool, rate: float, sm
 def _pack(borders: list[np.ndarray], classes: int):
     def of(batch: pd.DataFrame):
         x = np.stack(batch["x"].to_list()) if len(batch) else np.zeros((0, len(borders)))
-        return binned(x, borders), batch["y"].to_numpy(np.int64), np.zeros((len(batch), classes))
+        return np.asfortranarray(binned(x, borders)), batch["y"].to_numpy(np.int32), np.zeros((len(batch), classes), order="F")
 
     return of
 
 
+def _joined(found: Iterator) -> Iterator:
+    """The blocks of a task in larger ones: each block costs a pass over histograms, whose size does not depend on its rows."""
+    held: list = []
+    for block in found:
+        if held and sum(len(h[1]) for h in held) + len(block[1]) > ROWS_PER_SUM:
+            yield _one(held)
+            held = []
+        held.append(block)
+    if held:
+        yield _one(held)
+
+
+def _one(held: list):
+    bins, labels, scores = zip(*held)
+    return np.asfortranarray(np.concatenate(bins)), np.concatenate(labels), np.asfortranarray(np.concatenate(scores))
+
+
 def _advance(trees: Trees):
     return lambda block: (block[0], block[1], trees.add_to(block[2], block[0]))
 
@@ -164,12 +194,16 @@ class SoftmaxBoosting(Estimator, HasFeaturesCol, HasLabelCol):
     def _grow(self, rows: DataFrame, borders: list[np.ndarray], classes: int) -> list[Trees]:
         p, spark = self.settings, rows.sparkSession
         shared_folder(spark)
-        data = blocks(rows, by_value(_pack)(borders, classes), "boosting")
+        packed = blocks(rows, by_value(_pack)(borders, classes), "boosting", even=True)
+        data = packed.unpersist().mapPartitions(_joined).persist(StorageLevel.MEMORY_AND_DISK)
+        tasks = data.getNumPartitions()
         widths, rounds = max(len(b) for b in borders) + 2, []
         for number in range(p["rounds"]):
             trees = Trees(classes, p["depth"])
             for level in range(p["depth"]):
-                sums = total(data, histogram(trees, level, widths))
+                # Small sums go to the driver at once, others through a tree of tasks.
+                size = 16 * classes * len(borders) * widths << level
+                sums = total(data, histogram(trees, level, widths), 1 if size * tasks <= SMALL_BYTES else 2)
                 if sums is None or not grow(trees, level, sums, level == p["depth"] - 1, p["rate"], p["smoothing"], p["least"]):
                     break
             rounds.append(trees)

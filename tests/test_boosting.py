@@ -7,6 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from foliolens.operators import boosting
 from foliolens.operators import training as tr
 from foliolens.operators.boosting import LEAF, SoftmaxBoostedModel, SoftmaxBoosting, Trees, binned, grow, histogram, softmax
 
@@ -139,3 +140,20 @@ def test_odd_rows(rows):
     assert (constant.rounds[0].feature == LEAF).all()
     with pytest.raises(ValueError):
         SoftmaxBoosting(bins=1000)
+
+
+def test_blocks_of_a_task_are_summed_together(monkeypatch):
+    """Histograms of one large block are those of its small ones, at every level, also where rows have stopped above."""
+    random = np.random.default_rng(6)
+    small = [(np.asfortranarray(random.integers(0, 9, (50, 3)).astype(np.uint8)), random.integers(0, 3, 50), random.normal(size=(50, 3))) for _ in range(10)]
+    (large,) = boosting._joined(iter(small))
+    assert len(large[1]) == 500
+    trees = Trees(3, 4)
+    for level in range(4):
+        want = sum(histogram(trees, level, 11)(b) for b in small)
+        assert np.allclose(histogram(trees, level, 11)(large), want)
+        if not grow(trees, level, want, level == 3, 0.3, 1.0, 8.0):
+            break
+    assert (trees.feature[:, 1:7] == LEAF).any() and (trees.feature[:, 1:7] != LEAF).any()
+    monkeypatch.setattr(boosting, "ROWS_PER_SUM", 120)
+    assert [len(b[1]) for b in boosting._joined(iter(small))] == [100] * 5 and list(boosting._joined(iter([]))) == []
