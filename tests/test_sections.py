@@ -209,3 +209,22 @@ def test_sections_joined_to_vectors_are_written_once(rows, monkeypatch):
     scored = {r.section_idx: r for r in rv.section_scores(sections, asked, ["c"]).collect()}
     assert ["doc_id", "section_idx", "c", "text", "_between"] in kept
     assert scored[0].cosine == 1.0 and scored[1].cosine == pytest.approx(0.6) and scored[1].lexical == 0.0
+
+
+def test_summaries_take_means_of_sentences(rows):
+    """The flow keeps a mean for each sentence, not a map of the words of each section, and gives the summaries of the map."""
+    rng = random.Random(5)
+    words = ["alpha", "beta", "Gamma", "x", "delta", "ÉTÉ"]
+    text = lambda: " ".join(rng.choice(words) + rng.choice(["", "", ".", "!?", " ."]) for _ in range(rng.randrange(25)))
+    data = [(d, s, "c0", text()) for d in range(4) for s in range(6)] + [(4, 0, "c0", None), (4, 1, "c0", "..."), (4, 2, "c0", "one. two. one")]
+    data += [(5, 0, "c0", "alpha beta. delta"), (5, 0, "c0", "beta. beta. gamma gamma. x"), (5, 1, "c0", "beta")]
+    sections = rows(SECTION, data).withColumn("page", F.lit(0))
+    for per_chunk in (2, 256):
+        maps = rv.section_scores(sections, keep_terms=True, per_chunk=per_chunk).select("doc_id", "section_idx", "terms")
+        means = rv.section_scores(sections, keep_sentences=True, per_chunk=per_chunk).select("doc_id", "section_idx", "sentences")
+        texts = sections.select("doc_id", "section_idx", "text", F.xxhash64("text").alias("text_hash"))
+        old, new = (sorted(map(str, refine.refine(texts.join(x, ["doc_id", "section_idx"])).select("doc_id", "section_idx", "refined_text").collect())) for x in (maps, means))
+        assert old == new and len(new) == len(data)
+    configs = rows("collection string, persona string, job string", [("c0", "the", "beta")])
+    plan = ranking_flow.best_sections(sections, configs)._jdf.queryExecution().executedPlan().toString()
+    assert "map_from_entries" not in plan
