@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
+from foliolens.llm import lines
 from foliolens.llm.lines import drop_lines, line_dedup
 
 
@@ -55,3 +58,34 @@ def test_empty_table_and_repeated_rows(rows):
 def test_no_python_in_the_plan(spark, rows):
     plan = line_dedup(rows("doc_id long, text string", [(1, "a b c")]))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_large_sets_are_told_apart_before_they_are_read_again(rows, monkeypatch):
+    draw = random.Random(3)
+    docs = [(d, " ".join(draw.sample([f"w{i}" for i in range(400)], 150))) for d in range(200)]
+    docs.append((900, docs[7][1].replace(" ", "\x0b\t", 3).rsplit(" ", 9)[0]))
+    staged, stage = {}, lines.stage
+
+    def count(table, name):
+        staged[name] = stage(table, name)
+        return staged[name]
+
+    monkeypatch.setattr(lines, "stage", count)
+    got = {r.doc_id: r.n_removed for r in line_dedup(rows("doc_id long, text string", docs)).collect()}
+    assert [d for d, n in got.items() if n] == [900]
+    assert sum(t.count() for name, t in staged.items() if name in ("line-stars", "line-pairs")) < 100
+
+
+def test_frequent_tokens_settle_near_copies_and_their_neighbours(rows, monkeypatch):
+    monkeypatch.setattr(lines, "HOT", 3)
+    docs = corpus(5, 120) + [(5000 + i, "a b c d e f g h i j k l m n o " + f"x{i}") for i in range(40)] + [(6000, "a b c d e f g h i j k l m y x3")]
+    got = sorted((r.doc_id, r.n_lines, r.n_removed, r.removed) for r in line_dedup(rows("doc_id long, text string", docs)).collect())
+    assert got == brute(docs)
+
+
+def test_filter_of_lines_loses_none(rows):
+    found = rows("doc_id long, line_no int", [(d, d % 5) for d in range(0, 3000, 3)])
+    every = rows("doc_id long, line_no int", [(d, d % 5) for d in range(3000)])
+    kept = {r.doc_id for r in every.filter(lines._among(found, "doc_id", "line_no")).collect()}
+    assert kept >= set(range(0, 3000, 3)) and len(kept) < 1100
+    assert every.filter(lines._among(found.filter(F.lit(False)), "doc_id")).count() == 0
