@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliolens.llm.store import stage
-from foliolens.plans.lineage import fits_broadcast, sized_join
+from foliolens.plans.lineage import fits_broadcast, if_small, repeated_for, sized_join
 
 LETTERS = "ABCDE"
 SPACE = r"[\x20\x09-\x0D]+"
 FEWEST_WORDS, LEAST_DISTINCT, MOST_CAPITALS, MARKUP = 50, 65, 5, r"[#$%&*|]"
 #: Pieces of a hot key where the other side cannot be broadcast.
 PIECES = 64
+#: Rows of hashes, with a doc_id, that are broadcast at most: some 100 MB where they are sent from.
+HASH_ROWS = 500_000
 
 
 def text_failures(text: Column, found: Column) -> list[Column]:
@@ -31,10 +33,10 @@ def text_failures(text: Column, found: Column) -> list[Column]:
 
 def _semi(rows: DataFrame, earlier: DataFrame, same: list[str]) -> DataFrame:
     """Rows for which `earlier` has equal columns and a smaller doc_id in `first`; hot keys are spread where `earlier` is too large to broadcast."""
-    if fits_broadcast(earlier):
+    if fits_broadcast(earlier, HASH_ROWS):
         earlier = F.broadcast(earlier)
     else:
-        earlier = earlier.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+        earlier = repeated_for(earlier, PIECES)
         rows, same = rows.withColumn("_piece", F.pmod(F.xxhash64("doc_id"), F.lit(PIECES)).cast("int")), [*same, "_piece"]
     a, b = rows.alias("a"), earlier.alias("b")
     match = F.col("b.first") < F.col("a.doc_id")
@@ -52,14 +54,14 @@ def later_copies(keys: DataFrame, texts: DataFrame) -> DataFrame:
     need no text; where different texts share a key, rows are joined by their text too.
     """
     repeated = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "repeated")
-    candidates = sized_join(texts, repeated, ["key"], "left_semi", "doc_id")
+    candidates = sized_join(texts, repeated, ["key"], "left_semi", "doc_id", rows=HASH_ROWS)
     originals = stage(candidates.groupBy("key", "text").agg(F.min("doc_id").alias("first")), "originals")
     shared = stage(originals.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first")), "shared-keys")
     found = _semi(keys, shared.filter("n = 1").select("key", "first"), ["key"])
     mixed = shared.filter("n > 1").select("key")
     if mixed.isEmpty():
         return found
-    mixed_texts = sized_join(texts, mixed, ["key"], "left_semi", "doc_id")
+    mixed_texts = sized_join(texts, mixed, ["key"], "left_semi", "doc_id", rows=HASH_ROWS)
     return found.unionByName(_semi(mixed_texts, originals.join(mixed, "key", "left_semi"), ["key", "text"]).select(*keys.columns))
 
 
@@ -85,7 +87,7 @@ def failing_combinations(docs: DataFrame, labels: DataFrame, name: str = "source
     )
     marks = marks.filter("doc_id is not null").groupBy("doc_id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
     return (
-        marked.join(marks, "doc_id", "left")
+        marked.join(if_small(marks), "doc_id", "left")
         .groupBy("part", "bits")
         .agg(F.sum("rows").alias("n"), *(F.coalesce(F.sum(F.col("rows") * F.col(c)), F.lit(0)).alias(c) for c in ("good", "toxic")))
     )

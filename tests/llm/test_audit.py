@@ -91,6 +91,14 @@ def test_without_broadcast(rows, monkeypatch):
     assert {tuple(r) for r in failing_combinations(a, b, key=F.lit(1).cast("long")).collect()} == want
 
 
+def test_large_sides_do_not_pass_the_driver(rows, monkeypatch):
+    """What a count shows to be large is shuffled, whatever the sizes of files and aggregates suggest to the planner."""
+    monkeypatch.setattr(audit, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr("foliolens.plans.lineage.fits_broadcast", lambda *_: False)
+    frame = failing_combinations(*tables(rows, *odd_documents()))
+    assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_text_in_most_rows(rows):
     made = [(i, "hot" if i % 3 else f"t{i}", "part", 7 if i % 3 else i) for i in range(3000)]
     texts = rows("doc_id long, text string, part string, key long", made)

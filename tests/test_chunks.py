@@ -34,6 +34,16 @@ def test_joins_with_and_without_broadcast(rows):
     assert salted_join(big, small, ["k"], "left_anti", salt="i").count() == 100
 
 
+def test_repeated_pieces_are_not_broadcast(rows):
+    """The planner would take 64 copies of a small table for as large as one, and send them all through the driver."""
+    big = rows("k int, i int", [(i % 3, i) for i in range(300)])
+    small = rows("k int", [(0,), (1,)])
+    for how in ("left_semi", "left_anti", "left", "inner"):
+        joined = salted_join(big, small, ["k"], how, salt="i", pieces=64)
+        joined.collect()
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_group_is_spread_over_tasks(spark, rows):
     """One document holds all rows; the shuffle by (key, chunk) still gives every task some."""
     from pyspark.sql import functions as F
