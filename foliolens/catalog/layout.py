@@ -216,7 +216,8 @@ def pos_counts(t: Tables):
 def pos_tagged(t: Tables):
     """Word classes of every line by the trained tagger; no SQL counterpart, tests hold its decoding against brute force."""
     tagger = tagging.Tagger.fit(tagging.corpus(t.spark))
-    return tagging.with_tag_counts(t.features, tagger).select("doc_id", "line_idx", *tx.TAG_CLASSES)
+    lines = t.features.select("doc_id", "line_idx", "text")  # what goes through Python and back
+    return tagging.with_tag_counts(lines, tagger).select("doc_id", "line_idx", *tx.TAG_CLASSES)
 
 
 @query("spacing", "WITH " + CONTEXT + " SELECT doc_id, page, line_idx, spacing_before, spacing_after FROM context")

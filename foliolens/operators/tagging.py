@@ -25,6 +25,8 @@ RARE, LONGEST = 10, 4
 OWN, SHORTER = 0.5, 2.0
 #: Words decoded together.
 BATCH_WORDS = 50_000
+#: Sentences scored together, few enough for their paths to stay in a core's cache, and words of which all scores are kept.
+TOGETHER, KEPT_WORDS = 32, 200_000
 WORD = re.compile("[^\\W_]+")
 VOCABULARY = "word string, tag string, n long"
 
@@ -36,7 +38,7 @@ def corpus(spark: SparkSession) -> DataFrame:
 
 def shape(word: str, first: bool) -> str:
     """d with a digit, else C for a capital that does not open the sentence, else c."""
-    return "d" if any(c.isdigit() for c in word) else "C" if word[:1].isupper() and not first else "c"
+    return "d" if not word.isalpha() and any(c.isdigit() for c in word) else "C" if word[:1].isupper() and not first else "c"
 
 
 def _shape(word, first):
@@ -115,7 +117,7 @@ class Tagger:
     def tag(self, rows: DataFrame, text: str = "text", column: str = "tags") -> DataFrame:
         """Adds the tags of the words (runs of letters and digits) of each row's text, in order; null and empty texts have none.
 
-        Each row is decoded as one sentence, whatever its length, with memory for one byte per word and tag.  Equal scores go to the
+        Each row is decoded as one sentence, whatever its length; the memory of a long one is one byte per word and tag.  Equal scores go to the
         tag that sorts first.
         """
         names = [c for c in rows.columns if c != column]
@@ -183,10 +185,16 @@ def emission(model: dict, counts: dict[str, int] | None, word: str, kind: str) -
 
 
 def viterbi(model: dict, lengths: list[int], words: np.ndarray, emissions: np.ndarray) -> list[np.ndarray]:
-    """The best tags of sentences of the given lengths; `words` holds a row of `emissions` for each word, one sentence after the other."""
+    """The best tags of sentences of the given lengths; `words` holds a row of `emissions` for each word, one sentence after the other.
+
+    The scores of every word are kept, and only the way that was taken is followed back.  Words beyond `KEPT_WORDS`, in one long sentence,
+    keep the best tag before each tag instead, in a byte.
+    """
     order = np.argsort([-n for n in lengths], kind="stable")
     sizes = np.array(lengths)[order]
     starts = (np.cumsum(lengths) - lengths)[order]
+    follow, wide = model["follow"], len(words) > KEPT_WORDS
+    paths = np.empty((TOGETHER, *follow.shape))
     back: list[np.ndarray] = []
     score = model["first"] + emissions[words[starts]]
     ends = np.zeros((len(sizes), len(model["tags"])))
@@ -195,60 +203,104 @@ def viterbi(model: dict, lengths: list[int], words: np.ndarray, emissions: np.nd
         ends[alive : len(score)] = score[alive:] + model["last"]
         if not alive:
             break
-        paths = score[:alive, :, None] + model["follow"]
-        best = paths.argmax(axis=1)
-        back.append(best.astype(np.uint8 if len(model["tags"]) < 256 else np.uint16))
-        score = np.take_along_axis(paths, best[:, None, :], axis=1)[:, 0] + emissions[words[starts[:alive] + at]]
+        if wide:
+            best = (score[:alive, :, None] + follow).argmax(axis=1)
+            back.append(best.astype(np.uint8 if len(model["tags"]) < 256 else np.uint16))
+        else:
+            back.append(score[:alive])
+        now = emissions[words[starts[:alive] + at]]
+        for first in range(0, alive, TOGETHER):
+            some = score[first : min(first + TOGETHER, alive), :, None]
+            now[first : first + TOGETHER] += np.add(some, follow, out=paths[: len(some)]).max(axis=1)
+        score = now
     now = ends.argmax(axis=1)
-    tags = [np.zeros(n, np.int64) for n in sizes]
+    tags = np.zeros(len(words), np.int64)
     for at in range(int(sizes[0]) - 1, -1, -1):
         alive = int(np.searchsorted(-sizes, -at, "left"))
-        for i in range(alive):
-            tags[i][at] = now[i]
-        if at:
-            now[: len(back[at - 1])] = back[at - 1][np.arange(len(back[at - 1])), now[: len(back[at - 1])]]
-    out: list[np.ndarray] = [None] * len(lengths)  # type: ignore[list-item]
-    for place, i in enumerate(order):
-        out[i] = tags[place]
-    return out
+        tags[starts[:alive] + at] = now[:alive]
+        if at and wide:
+            now[:alive] = back[at - 1][np.arange(alive), now[:alive]]
+        elif at:
+            now[:alive] = (back[at - 1] + follow.T[now[:alive]]).argmax(axis=1)
+    return np.split(tags, np.cumsum(lengths)[:-1])
+
+
+class _Numbers(dict):
+    """The number of the row of emissions of each word as it is written, in the opening of a sentence or inside."""
+
+    def __init__(self, first: bool, add):
+        super().__init__()
+        self.first, self.add = first, add
+
+    def __missing__(self, form: str) -> int:
+        number = self[form] = self.add(form.lower(), shape(form, self.first))
+        return number
+
+
+class _Emissions:
+    """Rows of emissions, made as words turn up: one for each known word and shape, and one for each ending and shape of all others."""
+
+    def __init__(self, model: dict, counts: dict[str, dict[str, int]]):
+        self.model, self.counts, self.rows, self.made = model, counts, [], {}
+        self.table = np.zeros((0, len(model["tags"])))
+        self.opening, self.inside = _Numbers(True, self.add), _Numbers(False, self.add)
+
+    def add(self, word: str, kind: str) -> int:
+        counts = self.counts.get(word)
+        key = (word, kind, True) if counts else (word[-LONGEST:], kind, False)
+        if key not in self.made:
+            self.made[key] = len(self.rows)
+            self.rows.append(emission(self.model, counts, word, kind))
+        return self.made[key]
+
+    def numbers(self, found: list[str]) -> list[int]:
+        return [self.opening[found[0]], *map(self.inside.__getitem__, found[1:])]
+
+    def all(self) -> np.ndarray:
+        if len(self.table) < len(self.rows):
+            self.table = np.concatenate([self.table, self.rows[len(self.table) :]])
+        return self.table
+
+    def full(self) -> bool:
+        return len(self.opening) + len(self.inside) > 2 * BATCH_WORDS
 
 
 def _decoder(model: dict, vocabulary: dict[str, dict[str, int]], text: str, column: str, known: str | None):
     """A function over pandas batches that adds the tags."""
 
-    def tag_texts(texts: list, local: list) -> list[list[str]]:
+    def decode(out: list, rows: list[int], lengths: list[int], places: list[int], table: np.ndarray) -> None:
+        for row, tags in zip(rows, viterbi(model, lengths, np.array(places), table)):
+            out[row] = np.array(model["tags"], object)[tags].tolist()
+
+    def tag_texts(texts: list, local: list, words: list[_Emissions]) -> list[list[str]]:
+        """`words` holds what is kept from batch to batch, until it has grown too large."""
         out: list[list[str]] = [[] for _ in texts]
         at = 0
         while at < len(texts):
-            rows, lengths, places, size = [], [], [], 0
-            distinct: dict[tuple, int] = {}
-            kept: list[np.ndarray] = []
-            while at < len(texts) and (not size or size < BATCH_WORDS):
+            rows, lengths, places = [], [], []
+            if not words or words[0].full():
+                words[:] = [_Emissions(model, vocabulary)]
+            while at < len(texts) and len(places) < BATCH_WORDS:
                 found = WORD.findall(texts[at] or "")
-                counts = local[at] if known else vocabulary
-                for i, form in enumerate(found):
-                    word, kind = form.lower(), shape(form, i == 0)
-                    key = (at, word, kind) if known else (word, kind)
-                    if key not in distinct:
-                        distinct[key] = len(kept)
-                        kept.append(emission(model, counts.get(word), word, kind))
-                    places.append(distinct[key])
-                if found:
+                if found and known:
+                    own = _Emissions(model, local[at])
+                    decode(out, [at], [len(found)], own.numbers(found), own.all())
+                elif found:
+                    places += words[0].numbers(found)
                     rows.append(at)
                     lengths.append(len(found))
-                size += len(found)
                 at += 1
             if rows:
-                for row, tags in zip(rows, viterbi(model, lengths, np.array(places), np.array(kept))):
-                    out[row] = [model["tags"][t] for t in tags]
+                decode(out, rows, lengths, places, words[0].all())
         return out
 
     def run(batches: Iterator) -> Iterator:
         import json
 
+        words: list[_Emissions] = []
         for batch in batches:
             local = [json.loads(x) for x in batch[known]] if known else []
-            yield batch.drop(columns=[known] if known else []).assign(**{column: tag_texts(batch[text].tolist(), local)})
+            yield batch.drop(columns=[known] if known else []).assign(**{column: tag_texts(batch[text].tolist(), local, words)})
 
     return run
 

@@ -83,6 +83,28 @@ def test_viterbi_against_all_paths():
             at += n
 
 
+def test_long_sentences_are_decoded_the_same(monkeypatch):
+    random = np.random.default_rng(4)
+    k, lengths = 5, [40, 1, 300, 7]
+    model = {"tags": list("abcde"), "first": random.normal(size=k), "follow": random.normal(size=(k, k)), "last": random.normal(size=k)}
+    words, emissions = random.integers(0, 8, sum(lengths)), random.normal(size=(8, k))
+    short = [t.tolist() for t in tg.viterbi(model, lengths, words, emissions)]
+    monkeypatch.setattr(tg, "KEPT_WORDS", 10)
+    assert [t.tolist() for t in tg.viterbi(model, lengths, words, emissions)] == short
+
+
+def test_words_are_weighed_once(tagger, monkeypatch):
+    """Unknown words are known by their endings alone, and what was worked out for one batch serves the next."""
+    import pandas as pd
+
+    made, plain = [], tg.emission
+    monkeypatch.setattr(tg, "emission", lambda *a: made.append(a[2]) or plain(*a))
+    texts = [" ".join(f"q{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}zzness" for i in range(100))] * 3
+    run = tg._decoder(tagger.parts(), {}, "text", "tags", None)
+    out = list(run(iter([pd.DataFrame({"text": texts[:1]}), pd.DataFrame({"text": texts})])))
+    assert len(made) == 1 and [len(t) for b in out for t in b["tags"]] == [100] * 4
+
+
 def test_equal_scores_take_the_first_tag():
     k = 4
     model = {"tags": list("abcd"), "first": np.zeros(k), "follow": np.zeros((k, k)), "last": np.zeros(k)}
