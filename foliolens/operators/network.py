@@ -18,12 +18,14 @@ from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliolens.operators.blocked import Saved, blocks, by_bucket, total
+from foliolens.operators.blocked import ROWS_PER_BLOCK, Saved, blocks, by_bucket, total
 from foliolens.plans.lineage import cut, shared_folder
 from foliolens.plans.shipping import by_value
 
 #: Entries of the word-by-row matrix that are worked on together: few enough for their products with the weights to stay in a core's cache.
-PIECE = 8_000
+PIECE = 4_000
+#: Buckets that one row in so many has at least, and the most of them, are columns of a dense matrix: its products take less time than entries do.
+OFTEN, COLUMNS = 256, 2048
 WEIGHTS = ["words", "layout", "bias", "out", "out_bias"]
 
 
@@ -58,14 +60,49 @@ def pieces(first: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def hidden(weights: list[np.ndarray], bucket: np.ndarray, weight: np.ndarray, first: np.ndarray, layout: np.ndarray) -> np.ndarray:
-    """Inputs of the hidden units of some rows; `first` counts from the first of their entries."""
+class Words:
+    """The word-by-row matrix of some rows: frequent buckets in dense columns, the others entry by entry."""
+
+    def __init__(self, bucket: np.ndarray, weight: np.ndarray, first: np.ndarray, buckets: int):
+        rows, self.buckets = len(first) - 1, buckets
+        counts = np.bincount(bucket, minlength=buckets)
+        often = np.flatnonzero(counts * OFTEN >= max(rows, 2 * OFTEN))
+        self.often = often[np.argsort(-counts[often], kind="stable")[:COLUMNS]]
+        column = np.full(buckets, -1, np.int32)
+        column[self.often] = np.arange(len(self.often))
+        row, at = np.repeat(np.arange(rows), np.diff(first)), column[bucket]
+        frequent, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        self.dense = np.zeros((rows, len(self.often)), np.float32)
+        self.dense[row[frequent], at[frequent]] = weight[frequent]
+        self.bucket, self.weight, self.row = bucket[rest], weight[rest], row[rest]
+        self.first = np.searchsorted(self.row, np.arange(rows + 1))
+
+    def times(self, table: np.ndarray) -> np.ndarray:
+        out = (self.dense @ table[self.often]).astype(np.float64)
+        for a, b in pieces(self.first):
+            entries, some = slice(self.first[a], self.first[b]), a + np.flatnonzero(np.diff(self.first[a : b + 1]))
+            if len(some):
+                out[some] += np.add.reduceat(table[self.bucket[entries]] * self.weight[entries, None], self.first[some] - self.first[a], axis=0)
+        return out
+
+    def transposed(self, rows: np.ndarray) -> np.ndarray:
+        """The transposed matrix times some columns: a row for each bucket."""
+        out = np.zeros((self.buckets, rows.shape[1]), rows.dtype)
+        out[self.often] = self.dense.T @ rows
+        order = by_bucket(self.bucket, self.buckets)
+        ordered, of_row, weight = self.bucket[order], self.row[order], self.weight[order]
+        starts = np.flatnonzero(np.append(True, np.diff(ordered) != 0)) if len(ordered) else np.zeros(0, np.int64)
+        ends = np.append(starts, len(ordered))
+        for a, b in pieces(ends):
+            entries = slice(ends[a], ends[b])
+            out[ordered[starts[a:b]]] = np.add.reduceat(rows[of_row[entries]] * weight[entries, None], starts[a:b] - starts[a], axis=0)
+        return out
+
+
+def hidden(weights: list[np.ndarray], words: Words, layout: np.ndarray) -> np.ndarray:
+    """Inputs of the hidden units of some rows."""
     table, of_layout, bias = weights[:3]
-    summed = np.zeros((len(layout), table.shape[1]))
-    some = np.flatnonzero(np.diff(first))
-    if len(some):
-        summed[some] = np.add.reduceat(table[bucket] * weight[:, None], first[some], axis=0)
-    return summed + layout @ of_layout + bias
+    return words.times(table) + layout @ of_layout + bias
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -79,31 +116,17 @@ def gradient(sent):
     def of(block) -> list[np.ndarray]:
         weights = sent.value
         bucket, weight, first, layout, labels, held = block
-        slopes = [np.zeros_like(w) for w in weights]
-        figures = np.zeros(4)
-        for a, b in pieces(first):
-            ids, values, begin = bucket[first[a] : first[b]], weight[first[a] : first[b]], first[a : b + 1] - first[a]
-            inside = hidden(weights, ids, values, begin, layout[a:b])
-            active = np.maximum(inside, 0)
-            share = softmax(active @ weights[3] + weights[4])
-            rows = np.arange(b - a)
-            lost = -np.log(np.maximum(share[rows, labels[a:b]], 1e-15))
-            back_held = held[a:b]
-            figures += [lost[~back_held].sum(), (~back_held).sum(), lost[back_held].sum(), back_held.sum()]
-            share[rows, labels[a:b]] -= 1
-            share[back_held] = 0
-            back = (share @ weights[3].T) * (inside > 0)
-            if len(ids):
-                order = by_bucket(ids, len(weights[0]))
-                ordered, of_row = ids[order], np.repeat(rows, np.diff(begin))[order]
-                starts = np.flatnonzero(np.append(True, np.diff(ordered) != 0))
-                per_entry = back.astype(weights[0].dtype)[of_row] * values[order, None]
-                slopes[0][ordered[starts]] += np.add.reduceat(per_entry, starts, axis=0)
-            slopes[1] += layout[a:b].T @ back
-            slopes[2] += back.sum(axis=0)
-            slopes[3] += active.T @ share
-            slopes[4] += share.sum(axis=0)
-        return [figures, *slopes]
+        words, rows = Words(bucket, weight, first, len(weights[0])), np.arange(len(layout))
+        inside = hidden(weights, words, layout)
+        active = np.maximum(inside, 0)
+        share = softmax(active @ weights[3] + weights[4])
+        lost = -np.log(np.maximum(share[rows, labels], 1e-15))
+        figures = np.array([lost[~held].sum(), (~held).sum(), lost[held].sum(), held.sum()], np.float64)
+        share[rows, labels] -= 1
+        share[held] = 0
+        back = (share @ weights[3].T) * (inside > 0)
+        slopes = [words.transposed(back.astype(weights[0].dtype)), layout.T @ back, back.sum(axis=0), active.T @ share, share.sum(axis=0)]
+        return [figures, *(s.astype(w.dtype) for s, w in zip(slopes, weights))]
 
     return of
 
@@ -157,7 +180,7 @@ class FusedNetwork(Estimator, HasLabelCol):
             random.normal(0, 0.1, (p["buckets"], p["units"])), random.normal(0, scale(inputs), (inputs, p["units"])), np.zeros(p["units"]),
             random.normal(0, scale(p["units"]), (p["units"], classes)), np.zeros(classes),
         ]
-        data = blocks(rows, by_value(_pack)(idf), "network")
+        data = blocks(rows, by_value(_pack)(idf), "network", even=True)
         best, self.losses = None, []
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
         for step in range(1, p["rounds"] + 1):
@@ -213,9 +236,10 @@ def _scorer(idf: np.ndarray, weights: list[np.ndarray]):
             return pd.Series([], dtype=object)
         bucket, weight, first = rows_of(ids.to_list(), idf)
         x, out = np.nan_to_num(np.stack(layout.to_list())), []
-        for a, b in pieces(first):
-            inside = hidden(weights, bucket[first[a] : first[b]], weight[first[a] : first[b]], first[a : b + 1] - first[a], x[a:b])
-            out.append(softmax(np.maximum(inside, 0) @ weights[3] + weights[4]))
+        for a in range(0, len(x), ROWS_PER_BLOCK):
+            begin = first[a : a + ROWS_PER_BLOCK + 1]
+            words = Words(bucket[begin[0] : begin[-1]], weight[begin[0] : begin[-1]], begin - begin[0], len(idf))
+            out.append(softmax(np.maximum(hidden(weights, words, x[a : a + ROWS_PER_BLOCK]), 0) @ weights[3] + weights[4]))
         return pd.Series(list(np.concatenate(out).astype(np.float64)))
 
     return score

@@ -156,3 +156,31 @@ def test_sums_over_blocks_keep_to_one_array_and_pieces_to_a_cache():
     for buckets in (1 << 14, 1 << 20):
         ids = random.integers(0, buckets, 5000).astype(np.int32)
         assert (blocked.by_bucket(ids, buckets) == np.argsort(ids, kind="stable")).all()
+
+
+@pytest.mark.parametrize("columns", [0, 3, 2048])
+def test_frequent_and_rare_buckets_count_the_same(monkeypatch, columns):
+    monkeypatch.setattr(nw, "COLUMNS", columns)
+    monkeypatch.setattr(nw, "PIECE", 7)
+    random = np.random.default_rng(5)
+    ids = [np.concatenate([random.integers(0, 40, n), np.zeros(min(n, 1), int)]) for n in (0, 3, 1, 60, 9, 0, 2, 5)]
+    bucket, weight, first = nw.rows_of(ids, random.uniform(1, 2, 40))
+    plain = np.zeros((len(ids), 40))
+    plain[np.repeat(np.arange(len(ids)), np.diff(first)), bucket] = weight
+    words, table, back = nw.Words(bucket, weight, first, 40), random.normal(size=(40, 4)), random.normal(size=(len(ids), 4))
+    assert len(words.often) == min(columns, len(words.often)) and np.allclose(words.times(table), plain @ table, atol=1e-5)
+    assert np.allclose(words.transposed(back), plain.T @ back, atol=1e-5)
+
+
+def test_all_cores_have_a_share_of_each_pass(spark, monkeypatch):
+    """However few tasks the rows come in."""
+    seen, plain = [], nw.total
+    monkeypatch.setattr(nw, "total", lambda data, function: seen.append(data.getNumPartitions()) or plain(data, function))
+    frame = spark.range(3 * 4096).coalesce(1).select(
+        F.array(F.col("id").cast("string")).alias("words"), F.lit(None).cast("double").alias("n"), (F.col("id") % 2).cast("double").alias("class")
+    )
+    layout = nw.F.expr("array(cast(class as double))")
+    from pyspark.ml.functions import array_to_vector
+
+    nw.FusedNetwork(buckets=32, units=2, rounds=1).fit(frame.withColumn("layout", array_to_vector(layout)))
+    assert seen == [3]
