@@ -72,7 +72,7 @@ class Words:
         column[self.often] = np.arange(len(self.often))
         row, at = np.repeat(np.arange(rows), np.diff(first)), column[bucket]
         frequent, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
-        self.dense = np.zeros((rows, len(self.often)), np.float32)
+        self.dense = np.zeros((rows, len(self.often)), weight.dtype)
         self.dense[row[frequent], at[frequent]] = weight[frequent]
         self.bucket, self.weight, self.row = bucket[rest], weight[rest], row[rest]
         self.first = np.searchsorted(self.row, np.arange(rows + 1))
