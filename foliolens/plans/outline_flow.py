@@ -12,20 +12,25 @@ from foliolens.operators.training import LAYOUT_FEATURES, LINE_FEATURES, SPAN_FE
 from foliolens.plans.lineage import cut
 
 
-def predicted_rows(lines: DataFrame, model: PipelineModel | None = None, names: list[str] = LINE_FEATURES) -> DataFrame:
-    """Heading rows of the merged candidates: levels from a trained model or, without one, from the font size."""
-    candidates = cd.candidates(with_line_features(lines, words=model is not None))
+def predicted_rows(
+    lines: DataFrame, model: PipelineModel | None = None, names: list[str] = LINE_FEATURES, candidates: DataFrame | None = None
+) -> DataFrame:
+    """Heading rows of the merged candidates, those of the lines unless given: levels from a trained model or, without one, from the font size."""
+    if candidates is None:
+        candidates = cd.candidates(with_line_features(lines, words=False), words=model is not None)
     if model is None:
         return ol.outline_rows(candidates.withColumn("level", ol.level_by_size()))
     return ol.outline_rows(score(candidates, model, names))
 
 
-def outlines(documents: DataFrame, lines: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """doc_id, part, title and outline of every document.
+def outlines(
+    documents: DataFrame, lines: DataFrame, model: PipelineModel | None = None, candidates: DataFrame | None = None
+) -> DataFrame:
+    """doc_id, part, title and outline of every document; `candidates` are those of the lines, where a model was trained on them.
 
     Heading rows are few and are read for titles, removals and numbering, so they are written out once.
     """
-    titles, rest = ol.promote_title(cut(predicted_rows(lines, model)))
+    titles, rest = ol.promote_title(cut(predicted_rows(lines, model, candidates=candidates)))
     return ol.outline_documents(documents, titles, rest)
 
 

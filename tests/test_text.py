@@ -103,6 +103,20 @@ def test_word_classes(spark):
     }
 
 
+def test_marks_count_what_tags_count(spark):
+    listed = [w for words in tx.LEXICON.values() for w in words]
+    endings = [f"xq{e}" for e, _ in tx.SUFFIXES] + [e for e, _ in tx.SUFFIXES]
+    odd = ["", None, "--", "007 1a a1 12", "½ ² ٣ 3٣", "It's ALL Yes; no: yet", "İs é ñing Übung", "a" * 3000, "one two 3 four " * 500]
+    frame = spark.createDataFrame([(t,) for t in [*listed, *endings, " ".join(listed), " ".join(endings), *odd]], "t string")
+    tags = frame.select("t", tx.word_tags("t").alias("x")).select("t", *tx.tag_counts("x"))
+    marks = frame.select("t", tx.word_marks("t").alias("x")).select("t", *tx.mark_counts("x"))
+    assert marks.schema == tags.schema and marks.exceptAll(tags).isEmpty() and tags.exceptAll(marks).isEmpty()
+    custom = {"UH": ["so", "12"], "RB": ["so", "the"]}
+    tags = frame.select(tx.word_tags("t", custom).alias("x")).select(*tx.tag_counts("x"))
+    marks = frame.select(tx.word_marks("t", custom).alias("x")).select(*tx.mark_counts("x"))
+    assert marks.exceptAll(tags).isEmpty()
+
+
 def test_vectors(spark):
     from pyspark.sql import functions as F
 

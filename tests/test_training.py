@@ -106,3 +106,21 @@ def test_no_window_sees_the_rows_of_a_label(spark):
     frame = spark.range(100).select("id", F.lit("a").alias("label"))
     plan = tr.split_stratified(frame, ["id"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_candidates_of_a_line_model_are_found_once(spark, monkeypatch):
+    """For training and for the outlines; words are classed on what passes the filters, with the same counts as on all lines."""
+    import __spark_entry__ as entry
+    from foliolens.catalog.base import Tables
+    from foliolens.operators import candidates as cd
+    from tests.conftest import FOLDER
+
+    t = Tables(spark, FOLDER)
+    late, early = cd.candidates(t.features, words=True), cd.candidates(t.all_features)
+    names = sorted(early.columns)
+    assert sorted(late.columns) == names and late.select(names).exceptAll(early.select(names)).isEmpty()
+    assert early.count() == late.count() > 0
+    calls, plain = [], cd.filter_candidates
+    monkeypatch.setattr(cd, "filter_candidates", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    entry.queries()["outline_model"](spark, FOLDER)
+    assert len(calls) == 1
